@@ -7,7 +7,8 @@ and stay. The content of a removed line always survives at its first place.
 
 Shuffles: one aggregation of slim window rows (two hashes, an id), with partial sums before it, so a window that a third of all rows
 share sends one row a task; one join of the windows with the repeated ones only, which are stored first, so that adaptive
-execution can split a hot window's rows; and one join that brings the covered lines to the documents.
+execution can split a hot window's rows; and one join that brings the covered lines to the documents. Both joins are merge joins at
+every size: neither side has a bound.
 """
 
 from __future__ import annotations
@@ -51,14 +52,14 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     slim = windows(docs)
     repeated = slim.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     repeated = stored(repeated, "linededup-repeated")
-    found = slim.join(repeated, ["h1", "h2"]).select("doc_id", F.struct("h1", "h2", "th", "pos", (F.col("doc_id") == F.col("first_id")).alias("own")).alias("w"))
+    found = slim.join(repeated.hint("merge"), ["h1", "h2"]).select("doc_id", F.struct("h1", "h2", "th", "pos", (F.col("doc_id") == F.col("first_id")).alias("own")).alias("w"))
     per_doc = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("w")).alias("found"))
     later = per_doc.select(F.col("doc_id").alias("_id"), later_first(F.col("found")).alias("later")).where(F.size("later") > 0)
     later = stored(later, "linededup-later")
 
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     lined = docs.select(*kept, F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_th"))
-    both = lined.join(later, (F.col("doc_id").cast("long") == F.col("_id")), "left")
+    both = lined.join(later.hint("merge"), (F.col("doc_id").cast("long") == F.col("_id")), "left")
     starts = F.transform(F.filter("later", lambda x: x["th"] == F.col("_th")), lambda x: x["pos"])
     covered = F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))
     places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), covered)
