@@ -20,7 +20,7 @@ from entitymart.llm.tokens import default_path, encoder
 END = 1
 OPTIONS = {
     "orc.stripe.size": str(64 << 20), "orc.row.index.stride": "10000", "orc.create.index": "true", "orc.encoding.strategy": "SPEED",
-    "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.dictionary.key.threshold": "0", "compression": "zstd",
+    "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.dictionary.key.threshold": "0", "compression": "snappy",
 }
 SCHEMA = "part int, doc_id long, before long, n_tokens long, ids array<int>"
 
