@@ -2,28 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from entitymart.functions.claims import first, targets
-from entitymart.profiles import MUSIC, Profile, Rule
+from entitymart.profiles import MUSIC, Profile
 
 
 def verdict(role: str, reason: Column) -> Column:
     return F.when(reason.isNotNull(), F.struct(F.lit(role).alias("role"), reason.alias("reason")))
 
 
-def named_target(claims: Column, rule: Rule) -> Column:
-    return first(F.filter(targets(claims, rule.prop, empty=True), lambda x: x.isin(*rule.ids)))
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def by_rules(found: dict[str, Column], profile: Profile) -> list[Column]:
+    named = lambda r: first(F.filter(found[r.prop], lambda x: x.isin(*r.ids)))
+    return [verdict(r.role, F.concat(F.lit(f"{r.prop}:"), named(r))) for r in profile.rules]
 
 
 def classify(claims: Column, profile: Profile = MUSIC) -> Column:
     """struct(role, reason) of the first rule that matches, else null.
 
     A rule names the first target in its list, as ``P106:Q639669``. The last rule names all catch-all properties that are present as keys,
-    whatever their claims hold, sorted, as ``PROP:P136,P175``.
+    whatever their claims hold, sorted, as ``PROP:P136,P175``. Targets of a property are read once for all rules on it.
     """
-    found = [verdict(r.role, F.concat(F.lit(f"{r.prop}:"), named_target(claims, r))) for r in profile.rules]
     present = F.array_sort(F.array_intersect(F.map_keys(claims), F.array(*map(F.lit, profile.catch_all))))
-    named = F.when(F.size(present) >= 1, F.concat(F.lit("PROP:"), F.array_join(present, ",")))
-    return F.coalesce(*found, verdict(profile.catch_all_role, named))
+    last = verdict(profile.catch_all_role, F.when(F.size(present) >= 1, F.concat(F.lit("PROP:"), F.array_join(present, ","))))
+    props = list(dict.fromkeys(r.prop for r in profile.rules))
+
+    def bind(left: list[str], found: dict[str, Column]) -> Column:
+        if not left:
+            return F.coalesce(*by_rules(found, profile), last)
+        return bound(targets(claims, left[0], empty=True), lambda x: bind(left[1:], found | {left[0]: x}))
+
+    return bind(props, {})

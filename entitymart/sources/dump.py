@@ -49,9 +49,10 @@ def triage(lines: DataFrame, profile: Profile = MUSIC) -> DataFrame:
         .when(e["id"].isNull(), "no id")
         .when(e["type"].isNull(), "no type")
         .when(null_claims, "claims are null")
-        .when((e["id"] == "") & classify(e["claims"], profile).isNotNull(), "empty id")
+        .when((e["id"] == "") & F.col("verdict").isNotNull(), "empty id")
     )
-    rows = rows.withColumn("reason", why).withColumn("verdict", F.when((F.col("kind") == "entity") & F.col("reason").isNull(), classify(e["claims"], profile)))
+    rows = rows.withColumn("verdict", F.when(~unreadable, classify(e["claims"], profile))).withColumn("reason", why)
+    rows = rows.withColumn("verdict", F.when(F.col("reason").isNull(), F.col("verdict")))
     status = (
         F.when(F.col("kind") != "entity", F.col("kind")).when(F.col("reason").isNotNull(), "rejected").when(F.col("verdict").isNull(), "excluded").otherwise("filtered")
     )

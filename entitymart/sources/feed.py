@@ -51,7 +51,13 @@ def qid(prefix: str, key: Column) -> Column:
 
 
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
+    return [spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) if n in ("orders", "lineitem") else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a table that comes in fewer parts than there are cores to all of them: rendering and parsing cost more than the short rows' shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _agent_claims(more_genres: list[Column], more_instruments: list[Column]) -> Column:
