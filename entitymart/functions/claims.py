@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SECOND = "Q11574"
+# The characters of the Unicode property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _DATE = r"^-?\d+-\d{1,2}-\d{1,2}$"
 
 
@@ -84,8 +86,8 @@ def duration_seconds(claims: Column, prop: str) -> Column:
 
 
 def trimmed(text: Column) -> Column:
-    """Without white space of any script at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any script at both ends. No pattern: it would be tried at every character of a line."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def page_title(sitelinks: Column, site: str = "enwiki") -> Column:

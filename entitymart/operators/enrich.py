@@ -95,17 +95,18 @@ def backfill_tracks(track: DataFrame, enriched: DataFrame, qid_label: DataFrame)
     return joined.withColumn("duration_seconds", seconds).select(*track.columns)
 
 
-def populate(t: dict[str, DataFrame], hits_labels: DataFrame, enriched: DataFrame) -> dict[str, DataFrame]:
-    """All tables after labels and enrichment; children stay as they are, so the tables can be published as one snapshot."""
-    qid_label = labels(hits_labels, t.get("qid_label"))
-    album, track = backfill_albums(t["album"], enriched, qid_label), backfill_tracks(t["track"], enriched, qid_label)
+def populate(t: dict[str, DataFrame], found_labels: DataFrame, enriched: DataFrame) -> dict[str, DataFrame]:
+    """All tables after labels and enrichment; children stay as they are, so the tables can be published as one snapshot.
+
+    ``found_labels``: one row a qid. A backfill changes no id, so references are guarded by the tables as they were."""
+    qid_label = found_labels if "qid_label" not in t else labels(found_labels, t["qid_label"])
     return t | {
         "qid_label": qid_label,
         "artist": backfill_names(t["artist"], qid_label, only_unresolved=True),
-        "album": album,
-        "track": track,
+        "album": backfill_albums(t["album"], enriched, qid_label),
+        "track": backfill_tracks(t["track"], enriched, qid_label),
         "instrument": instruments(t["artist_instrument"], qid_label),
         "record_label": record_labels(enriched, qid_label),
-        "album_genre": one_per_key(album_genres(enriched, t["genre"], album), KEYS["album_genre"]),
-        "track_album": track_albums(t["track_album"], enriched, album, track),
+        "album_genre": one_per_key(album_genres(enriched, t["genre"], t["album"]), KEYS["album_genre"]),
+        "track_album": track_albums(t["track_album"], enriched, t["album"], t["track"]),
     }

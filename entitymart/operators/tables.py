@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entitymart.operators.merge import one_per_key
 from entitymart.schemas import KEYS
+from entitymart.sources.storage import stored
 
 
 def agents(staged: DataFrame) -> DataFrame:
@@ -61,10 +62,11 @@ def track_album(staged: DataFrame, album: DataFrame) -> DataFrame:
 
 
 def bootstrap_tables(staged: DataFrame, genre: DataFrame) -> dict[str, DataFrame]:
-    artist, album, track = agents(staged), albums(staged), tracks(staged)
+    """All tables of a bootstrap. Those that others refer to are stored, the rest are plans over ``staged``."""
+    artist, album, track = (stored(make(staged), name) for make, name in ((agents, "artist"), (albums, "album"), (tracks, "track")))
     return {
         "artist": artist,
-        "genre": one_per_key(genre, KEYS["genre"]),
+        "genre": genre,
         "artist_genre": artist_genre(staged, genre),
         "artist_instrument": artist_instrument(staged),
         "artist_member_of": artist_member_of(staged, artist),

@@ -111,13 +111,18 @@ def upsert_tracks(t: dict[str, DataFrame], batch: DataFrame, artist: DataFrame,
     }
 
 
-def upsert(t: dict[str, DataFrame], decided: DataFrame) -> dict[str, DataFrame]:
-    """All tables after a batch: agents first, then albums, then tracks."""
-    batch = extract(decided.where("outcome = 'upserted'"))
+def ids_after(table: DataFrame, batch: DataFrame, role: str) -> DataFrame:
+    """Ids of a table once the batch is in, without merging the rows."""
+    return table.select("id").union(batch.where(F.col("role") == role).select("id"))
+
+
+def upsert(t: dict[str, DataFrame], batch: DataFrame) -> dict[str, DataFrame]:
+    """All tables after a batch of staged rows (stored: many tables read it): agents first, then albums, then tracks."""
     new = t | {"qid_label": upsert_labels(t["qid_label"], batch)}
     new |= upsert_agents(new, batch)
-    new |= upsert_albums(new, batch, new["artist"])
-    return new | upsert_tracks(new, batch, new["artist"], new["album"])
+    artist, album = ids_after(t["artist"], batch, "Agent"), ids_after(t["album"], batch, "Album")
+    new |= upsert_albums(new, batch, artist)
+    return new | upsert_tracks(new, batch, artist, album)
 
 
 def cursor_after(changes: DataFrame, before: DataFrame | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Flows from dump lines to catalog tables: bootstrap, populate, update. Lines are parsed once; what follows reads stored tables."""
+"""Flows from dump lines to catalog tables: bootstrap, populate, update. A dump's lines are parsed once; what follows reads columns of stored tables."""
 
 from __future__ import annotations
 
@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart.operators import enrich, tables, update
-from entitymart.operators.extract import enrichment, extract, genre_entries, label_entries
+from entitymart.operators.extract import enrichment, entry_columns, extract, genre_entries, label_entries, staged_columns
 from entitymart.operators.merge import one_per_key
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
-from entitymart.sources.dump import by_ids, triage
+from entitymart.sources.dump import triage
 from entitymart.sources.storage import stored
 
 
@@ -20,20 +20,26 @@ from entitymart.sources.storage import stored
 class Bootstrap:
     triaged: DataFrame
     staged: DataFrame
+    found: DataFrame
     tables: dict[str, DataFrame]
 
 
 def bootstrap(lines: DataFrame, profile: Profile = MUSIC) -> Bootstrap:
-    """``lines``: (file, value). The first pass triages, classifies and extracts; the second finds the names of the genres met."""
-    done = triage(lines, profile)
-    slim = done.select(
+    """``lines``: (file, value). One narrow pass triages, classifies and extracts, and keeps an entry of every readable entity, so that
+    names of genres, and later labels and enrichment, are joins of slim columns and the lines are not read again."""
+    status, entity = F.col("status"), F.col("entity")
+    parsed = triage(lines, profile).select(
         "file", "status", "reason", "verdict",
-        F.when(F.col("status") == "rejected", F.col("value")).alias("value"), F.when(F.col("status") == "filtered", F.col("entity")).alias("entity"),
+        F.when(status == "rejected", F.col("value")).alias("value"),
+        F.when(status == "filtered", F.struct(*staged_columns(entity, F.col("verdict.role"), F.col("verdict.reason")))).alias("staged"),
+        F.when(status.isin("filtered", "excluded"), F.struct(*entry_columns(entity))).alias("entry"),
     )
-    triaged = stored(slim, "triaged")
-    staged = stored(extract(triaged), "staged")
-    genre = stored(one_per_key(genre_entries(by_ids(lines, tables.genre_ids(staged))), KEYS["genre"]), "genre")
-    return Bootstrap(triaged, staged, tables.bootstrap_tables(staged, genre))
+    triaged = stored(parsed, "triaged")
+    staged = triaged.where("status = 'filtered'").select("staged.*")
+    found = triaged.where("status in ('filtered', 'excluded')").select("entry.*")
+    met = found.join(tables.genre_ids(staged), "qid", "left_semi")
+    genre = stored(one_per_key(genre_entries(met), KEYS["genre"]), "genre")
+    return Bootstrap(triaged, staged, found, tables.bootstrap_tables(staged, genre))
 
 
 @dataclass
@@ -44,14 +50,12 @@ class Populated:
     tables: dict[str, DataFrame]
 
 
-def populate(lines: DataFrame, t: dict[str, DataFrame]) -> Populated:
-    """Labels of all ids, and of record labels that albums name, and enrichment of works, from one more pass over the lines with the ids
-    of albums and tracks and one with the labels found there."""
+def populate(found: DataFrame, t: dict[str, DataFrame]) -> Populated:
+    """Labels of all ids, and of record labels that albums name, and enrichment of works. ``found``: entries, of a bootstrap or, for
+    a dump that was not parsed here, ``entries(by_ids(lines, ids))``."""
     sets = stored(enrich.id_sets(t), "id-sets")
-    hits = stored(by_ids(lines, sets.where("kind = 'all'")), "hits")
-    enriched = stored(enrichment(hits, sets), "enriched")
-    more = enrich.wanted_ids(sets, enriched).join(sets.where("kind = 'all'").select("qid"), "qid", "left_anti")
-    named = label_entries(hits).unionByName(label_entries(by_ids(lines, more)))
+    enriched = stored(enrichment(found, sets), "enriched")
+    named = label_entries(found.join(enrich.wanted_ids(sets, enriched), "qid", "left_semi"))
     labels = stored(one_per_key(named, KEYS["qid_label"]), "labels")
     return Populated(sets, labels, enriched, enrich.populate(t, labels, enriched))
 
@@ -59,4 +63,4 @@ def populate(lines: DataFrame, t: dict[str, DataFrame]) -> Populated:
 def run_update(t: dict[str, DataFrame], changes: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables after a batch of changes (qid, modified, value), and what was decided for each entity."""
     decided = stored(update.outcomes(changes, t["artist"]), "decided")
-    return update.upsert(t, decided), decided
+    return update.upsert(t, stored(extract(decided.where("outcome = 'upserted'")), "batch")), decided

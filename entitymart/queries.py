@@ -39,7 +39,7 @@ class Catalog:
 
     @functools.cached_property
     def second(self) -> Populated:
-        return populate(self.lines, self.first.tables)
+        return populate(self.first.found, self.first.tables)
 
     @functools.cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -144,7 +144,7 @@ def enriched(c: Catalog, kind: str, *columns: str) -> DataFrame:
 QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "line_triage": lambda c: counters(c.first.triaged),
     "rejects": lambda c: rejects(c.first.triaged).select("raw", "reason"),
-    "classify": lambda c: c.first.triaged.where("verdict is not null").select("entity.id", "verdict.role", "verdict.reason"),
+    "classify": lambda c: c.first.triaged.where("verdict is not null").select("staged.id", "verdict.role", "verdict.reason"),
     "reason_distribution": lambda c: audit.reasons(c.first.tables["artist"]),
     "extract_agent": lambda c: staged_text(c.first.staged.where("role = 'Agent'")).drop("performers", "parents", "role"),
     "extract_work": lambda c: staged_text(c.first.staged.where("role <> 'Agent'")).select("id", "role", "name", "genres", "performers", "parents"),

@@ -28,7 +28,7 @@ def decode(lines: DataFrame) -> DataFrame:
     """Adds body (the line without white space and trailing commas), kind (bracket, blank or entity) and entity with ``broken``."""
     text = trimmed(F.col("value"))
     kind = F.when(text.isin("[", "]"), "bracket").when(text == "", "blank").otherwise("entity")
-    rows = lines.withColumns({"kind": kind, "body": F.regexp_replace(text, ",+$", "")})
+    rows = lines.withColumns({"kind": kind, "body": F.rtrim(text, F.lit(","))})
     schema = f"{ENTITY}, broken string"
     parsed = F.from_json(F.when(F.col("kind") == "entity", F.col("body")), schema, {"columnNameOfCorruptRecord": "broken"})
     return rows.withColumn("entity", parsed)
@@ -73,9 +73,9 @@ def counters(triaged: DataFrame) -> DataFrame:
 
 
 def by_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """Second pass: entities whose id is in ``ids`` (column qid). The id is cut out of the line cheaply, so only hits are parsed; lines
+    """Entities of a dump whose id is in ``ids`` (column qid). The id is cut out of the line cheaply, so only hits are parsed; lines
     where that finds nothing are parsed to see."""
-    body = F.regexp_replace(trimmed(F.col("value")), ",+$", "")
+    body = F.rtrim(trimmed(F.col("value")), F.lit(","))
     quick = F.regexp_extract(body, r'^\{(?:"type":"\w+",)?"id":"([^"\\]+)"', 1)
     marked = lines.select("file", "value", F.when(quick != "", quick).otherwise(F.get_json_object(body, "$.id")).alias("qid"))
     hits = marked.where("qid is not null").join(ids.select("qid").distinct(), "qid", "left_semi")

@@ -6,12 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from entitymart.functions.claims import duration_seconds, first_parsed_date, precise_date, resolved_label
+from entitymart.functions.claims import duration_seconds, first_parsed_date, precise_date, resolved_label, trimmed
 from entitymart.operators import audit, merge, search, update
 from entitymart.operators.classify import classify
+from entitymart.operators.extract import entries
 from entitymart.plans.catalog import bootstrap, populate, run_update
 from entitymart.schemas import ENTITY
-from entitymart.sources.dump import counters, rejects, scan, triage
+from entitymart.sources.dump import by_ids, counters, rejects, scan, triage
 from entitymart.sources.storage import latest, publish, shared_folder
 
 
@@ -58,14 +59,27 @@ def first(lines):
 
 
 @pytest.fixture(scope="module")
-def second(lines, first):
-    return populate(lines, first.tables)
+def second(first):
+    return populate(first.found, first.tables)
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def test_rescan_equals_entries_of_the_first_pass(lines, first):
+    ids = first.found.select("qid").distinct()
+    again = entries(by_ids(lines, ids))
+    assert again.exceptAll(first.found).isEmpty() and first.found.exceptAll(again).isEmpty()
+    assert ids.count() > 5
+
+
+def test_trimmed_is_white_space_of_any_script(spark):
+    texts = ["", " ", "\u00a0\t{}\u2003\r", "\u3000a b\u0085", "\u180ex\u200b", "\x1cx"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(trimmed(F.col("t"))).collect()
+    assert [r[0] for r in got] == ["", "", "{}", "a b", "\u180ex\u200b", "\x1cx"]
+
+
 def test_triage_counts_and_rejects(lines):
     done = triage(lines)
     assert counters(done).first().asDict() == {"processed": 17, "filtered": 5, "rejected": 6, "excluded": 4, "brackets": 2}
