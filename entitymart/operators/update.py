@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.operators.extract import extract
+from entitymart.operators.extract import staged_columns
 from entitymart.operators.merge import insert_or_ignore, insert_or_replace
 from entitymart.operators.tables import agents, of_agents, performers, track_album
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
 from entitymart.sources.dump import triage
+from entitymart.sources.storage import stored
 
 ENTITY_PREFIX = "http://www.wikidata.org/entity/"
 CURSOR = "last_sync"
@@ -49,10 +50,12 @@ def newest(changes: DataFrame) -> DataFrame:
 
 
 def outcomes(changes: DataFrame, artist: DataFrame, profile: Profile = MUSIC) -> DataFrame:
-    """Newest changes, decoded, with outcome: upserted, skipped (no longer of interest), or failed (unreadable, or member of an unknown group)."""
+    """Newest changes, with what was extracted in ``staged``, and outcome: upserted, skipped (no longer of interest), or failed (unreadable, or member of an unknown group)."""
     rows = newest(changes).select("qid", "modified", F.lit("").alias("file"), "value")
-    done = triage(rows, profile)
-    staged = extract(done)
+    kept = F.struct(*staged_columns(F.col("entity"), F.col("verdict.role"), F.col("verdict.reason")))
+    parsed = triage(rows, profile).select("qid", "modified", "value", "status", "verdict", F.when(F.col("status") == "filtered", kept).alias("staged"))
+    done = stored(parsed, "changes-parsed")  # read three times
+    staged = done.where("status = 'filtered'").select("staged.*")
     groups = artist.select("id").union(staged.where("role = 'Agent'").select("id")).distinct()
     dangling = of_agents(staged, "member_of", "group_id").join(groups.select(F.col("id").alias("group_id")), "group_id", "left_anti")
     bad = dangling.select(F.col("artist_id").alias("qid")).distinct().withColumn("bad", F.lit(True))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entitymart.operators import enrich, tables, update
-from entitymart.operators.extract import enrichment, entry_columns, extract, genre_entries, label_entries, staged_columns
+from entitymart.operators.extract import enrichment, entry_columns, genre_entries, label_entries, staged_columns
 from entitymart.operators.merge import one_per_key
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
@@ -63,4 +63,4 @@ def populate(found: DataFrame, t: dict[str, DataFrame]) -> Populated:
 def run_update(t: dict[str, DataFrame], changes: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
     """Tables after a batch of changes (qid, modified, value), and what was decided for each entity."""
     decided = stored(update.outcomes(changes, t["artist"]), "decided")
-    return update.upsert(t, stored(extract(decided.where("outcome = 'upserted'")), "batch")), decided
+    return update.upsert(t, stored(decided.where("outcome = 'upserted'").select("staged.*"), "batch")), decided

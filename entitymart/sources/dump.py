@@ -31,7 +31,8 @@ def decode(lines: DataFrame) -> DataFrame:
     rows = lines.withColumns({"kind": kind, "body": F.rtrim(text, F.lit(","))})
     schema = f"{ENTITY}, broken string"
     parsed = F.from_json(F.when(F.col("kind") == "entity", F.col("body")), schema, {"columnNameOfCorruptRecord": "broken"})
-    return rows.withColumn("entity", parsed)
+    # A generated column: filters on it are not pushed below, which would parse the line again for each use of a field.
+    return rows.select("*", F.explode_outer(F.array(parsed)).alias("entity"))
 
 
 def triage(lines: DataFrame, profile: Profile = MUSIC) -> DataFrame:
