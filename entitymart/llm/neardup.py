@@ -1,11 +1,12 @@
 """Near-duplicate documents at a Jaccard similarity of five-word shingles, one document of each group kept.
 
 A 64-bit fingerprint separates texts of similarity 0.8 by some ten bits, and at that radius the triangle bounds of a vantage-point tree
-prune nothing. So the fingerprints and their tree (``simhash``) link what lies within three bits, and candidates further apart come from
-min-wise hashes: rows of ``ROWS`` minima in ``BANDS`` bands, which miss a pair at 0.8 once in 3,000 times. All candidates of a band
-are compared by their whole shingle sets. Fingerprints are the points of both, so copies never meet in pairs.
+prune nothing. So the fingerprints and their tree (``simhash``) give what lies within three bits as candidates, and candidates further apart
+come from min-wise hashes: rows of ``ROWS`` minima in ``BANDS`` bands, which miss a pair at 0.8 once in 3,000 times. Fingerprints count repeated
+shingles, so close ones may belong to different sets: all candidates, of a group of the tree, of a fingerprint or of a band, are compared by their
+whole shingle sets. Different sets are the points, so copies never meet in pairs.
 
-A band's candidates are searched from one text to the next: what is reached leaves the rest, so a large group of near-copies costs few
+Groups of the tree and texts of one fingerprint are bands like the others. A band's candidates are searched from one text to the next: what is reached leaves the rest, so a large group of near-copies costs few
 searches and returns members, not pairs. Bands with the same candidates are searched once; bands of over ``GROUP`` candidates are dealt to
 pairs of blocks, which lose no link.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entitymart.llm import simhash
@@ -55,6 +56,11 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return stored(per_batch(rows, make, "doc_id long, fp long, same long, bands array<long>"), "neardup-sketches")
 
 
+def point() -> Column:
+    """A text's point: its fingerprint and its shingle set."""
+    return F.xxhash64("fp", "same")
+
+
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, set) with the sorted shingle hashes as bytes."""
 
@@ -91,11 +97,14 @@ def linked(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 
 def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Groups of fingerprints (rows of ``simhash.MEMBERS``) that shingle sets of at least ``similarity`` join."""
+    """Groups of points (rows of ``simhash.MEMBERS``, with ``point`` as fp) that shingle sets of at least ``similarity`` join."""
     spark = docs.sparkSession
     # One document stands for all of the same shingles.
     texts = stored(rows.where(F.size("bands") > 0).groupBy("fp", "same").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "neardup-texts")
-    each = texts.select("fp", "same", "doc_id", F.explode("bands").alias("band"))
+    near = stored(simhash.vantage_links(stored(texts.select("fp").distinct(), "neardup-fps")), "neardup-near")
+    columns = ["fp", "same", "doc_id"]
+    each = texts.select(*columns, F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("fp"), "fp")))).alias("band"))
+    each = each.unionByName(texts.join(near.select("fp", "gid"), "fp").select(*columns, F.xxhash64(F.lit("tree"), "gid").alias("band")))
     counts = each.groupBy("band").agg(F.count("*").alias("n"), F.min("same").alias("a"), F.sum(F.xxhash64("fp", "same") % (1 << 40)).alias("b")).where("n > 1")
     chosen = stored(counts.groupBy("n", "a", "b").agg(F.min("band").alias("band")), "neardup-bands")
     blocks = F.ceil(F.col("n") / GROUP)
@@ -104,7 +113,7 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
     pairs = F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(F.filter(other, lambda x: x != own), lambda x: F.least(x, own) * blocks + F.greatest(x, own))
     )
-    asked = stored(each.join(chosen.select("band", "n"), "band").select("fp", "doc_id", F.explode(pairs).alias("pair"), "band"), "neardup-asked")
+    asked = stored(each.join(chosen.select("band", "n"), "band").select(point().alias("point"), "doc_id", F.explode(pairs).alias("pair"), "band"), "neardup-asked")
     wanted = asked.select("doc_id").distinct()
     sets = stored(shingle_sets(docs.join(stored(wanted, "neardup-wanted"), "doc_id", "left_semi"), k), "neardup-sets").dropDuplicates(["doc_id"])
     target = arrow_schema(simhash.MEMBERS)
@@ -127,18 +136,18 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
 
     def work(batches):
         for t in groups(batches):
-            fps = t.column("fp").to_numpy().view(np.uint64)
+            points = t.column("point").to_numpy().view(np.uint64)
             label = linked([np.frombuffer(x, dtype=np.uint64) for x in t.column("set").to_pylist()], similarity)
             if len(set(label.tolist())) == len(label):
                 continue
-            out = simhash.member_rows(0, fps, label)
+            out = simhash.member_rows(0, points, label)
             key = int(simhash.xxhash.xxh64_intdigest(f"{t.column('band')[0]} {t.column('pair')[0]}")) & 0x3FFFFFFFFFFFFFFF
             out["gid"] = -((key + out["gid"]) % (1 << 62)) - 1  # never a shard's
             yield batch_of(out, target)
 
     small_batches(spark, 256)
     dealt = asked.join(sets, "doc_id").repartition("band", "pair").sortWithinPartitions("band", "pair")
-    return dealt.select("band", "pair", "fp", "set").mapInArrow(work, simhash.MEMBERS)
+    return dealt.select("band", "pair", "point", "set").mapInArrow(work, simhash.MEMBERS)
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -149,6 +158,6 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY)
     rows = sketches(docs, k)
     known = docs.where(F.col("doc_id").isNotNull())
     groups = similar_groups(known, rows.where(F.col("doc_id").isNotNull()), k, similarity)
-    found = simhash.with_components(rows.select("doc_id", "fp"), groups)
+    found = simhash.with_components(rows.select("doc_id", point().alias("fp")), groups)
     dropped = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")), "neardup-dropped")
     return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")

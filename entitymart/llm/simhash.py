@@ -271,11 +271,10 @@ def join_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def with_components(prints: DataFrame, members: DataFrame | None = None, r: int = BITS) -> DataFrame:
-    """``prints``: stored (doc_id, fp). Adds component_id, the least doc_id reachable over links; further groups may be given in ``members``."""
+    """``prints``: stored (doc_id, fp). Adds component_id, the least doc_id reachable over links. Groups given in ``members`` stand in
+    place of the tree's; fp may then be any key of the points."""
     points = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("label"), F.count("*").alias("n")), "simhash-points")
-    found = vantage_links(points, r)
-    if members is not None:
-        found = found.unionByName(members)
+    found = vantage_links(points, r) if members is None else members
     joined = join_groups(stored(found, "simhash-found"), points.select("fp", "label"))
     # Only points of several documents or with links need a look-up; all others are their own component.
     known = points.where("n > 1").join(joined.withColumnRenamed("label", "low"), "fp", "full").select("fp", F.coalesce("low", "label").alias("component_id"))

@@ -282,6 +282,19 @@ def test_one_of_near_copies_stays(spark, monkeypatch):
     assert neardup.keep_one(docs(spark, [(None, "a b"), (None, "a b"), (1, "a b")])).count() == 3
 
 
+def test_close_fingerprints_are_compared_by_sets(spark):
+    passage, rows = prose(40, 50), []
+    for i in range(24):  # a common passage 30 times, in lines with words of their own
+        own = prose(60, 800 + i).split(" ")
+        rows.append((i, " ".join(f"{passage} {own[2 * n]} {own[2 * n + 1]}" for n in range(30))))
+    same = prose(40, 51)
+    rows += [(100, f"{same} end"), (101, f"{same} end"), (102, f"{same} fin")]
+    prints = [simhash.fingerprint(simhash.hashes(t, neardup.SHINGLE)) for _, t in rows]
+    assert any((prints[a] ^ prints[b]).bit_count() <= simhash.BITS for a in range(24) for b in range(a))
+    got = sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, rows)).collect())
+    assert got == sorted(plain_near(rows)) == [*range(24), 100]
+
+
 # 6
 
 
