@@ -5,24 +5,28 @@ features, so a preference's probability is the logistic of the feature differenc
 over pairs. The decision threshold is a score quantile: as large a share of the labelled documents falls below it as bears label 0. Scores
 are mapped so that this threshold is ``CUT``.
 
-The fit takes ``PER_CLASS`` labelled documents of each class at most, chosen by a hash of the id, outside the held-out fold; only their
-features reach the driver. Scoring is a narrow map over whole texts.
+The weights are fitted on ``PER_CLASS`` labelled documents of each class at most, chosen by a hash of the id, outside the held-out fold; only
+their features reach the driver. The quantile is taken over the scores of all labelled documents outside that fold: a narrow map gives raw
+scores, slim rows meet the labels, and histograms of at most ``BINS`` counts find the two scores that the threshold lies between.
+Scoring is a narrow map over whole texts.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import fold, per_batch
+from entitymart.llm.common import fold, per_batch, stored
 
 #: Labelled documents of each class in the fit, pairs drawn from them at each step, steps, and the score at the threshold.
 PER_CLASS, PAIRS, STEPS, CUT = 4000, 20_000, 300, 0.7
+#: Counts of a histogram of raw scores.
+BINS = 4096
 
 #: Kinds of bytes: letters and all bytes of other scripts, capitals, digits, white space, sentence marks, other signs.
 _KIND = bytes(
@@ -67,9 +71,11 @@ class Model:
     threshold: float
     slope: float
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.spread, -8, 8) @ self.weights
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        raw = np.clip((x - self.mean) / self.spread, -8, 8) @ self.weights
-        z = np.clip((raw - self.threshold) * self.slope, -30, 30) + math.log(CUT / (1 - CUT))
+        z = np.clip((self.raw(x) - self.threshold) * self.slope, -30, 30) + math.log(CUT / (1 - CUT))
         return 1 / (1 + np.exp(-z))
 
 
@@ -77,7 +83,8 @@ class Model:
 BLANK = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.0)
 
 
-def learn(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PAIRS, steps: int = STEPS) -> Model:
+def learn(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, steps: int = STEPS) -> Model:
+    """Weights and slope; the threshold is still 0."""
     if not len(good) or not len(bad):
         return BLANK
     both = np.concatenate([good, bad])
@@ -88,13 +95,23 @@ def learn(good: np.ndarray, bad: np.ndarray, share_bad: float, pairs: int = PAIR
         diff = g[rng.integers(len(g), size=pairs)] - b[rng.integers(len(b), size=pairs)]
         miss = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
         w += rate / (1 + step / 100) * (diff.T @ miss / pairs - 1e-3 * w)
-    scores = np.concatenate([g @ w, b @ w])
-    mass = np.concatenate([np.full(len(g), (1 - share_bad) / len(g)), np.full(len(b), share_bad / len(b))])
-    order = np.argsort(scores)
-    scores, below = scores[order], np.cumsum(mass[order])
-    at = min(int(np.searchsorted(below, share_bad - 1e-9)), len(scores) - 2) if len(scores) > 1 else 0
-    threshold = float(scores[at : at + 2].mean())
-    return Model(mean, spread, w, threshold, 6 / max(1e-6, float((g @ w).mean() - (b @ w).mean())))
+    return Model(mean, spread, w, 0.0, 6 / max(1e-6, float((g @ w).mean() - (b @ w).mean())))
+
+
+def cut_after(scores: DataFrame, n: int) -> float:
+    """The middle between the ``n``-th least and the next ``raw`` of ``scores``, a stored table. Each histogram covers the bin of the one
+    before that holds the ``n``-th, from its least to its greatest value, until these are the same."""
+    low, high = scores.agg(F.min("raw"), F.max("raw")).first()
+    below = 0
+    while low < high:
+        where = F.least(F.floor((F.col("raw") - low) / (high - low) * BINS), F.lit(BINS - 1)).alias("bin")
+        bins = scores.where(F.col("raw").between(low, high)).groupBy(where).agg(F.count("*"), F.min("raw"), F.max("raw")).collect()
+        for _, count, low, high in sorted(bins):
+            if below + count >= n:
+                break
+            below += count
+    upto, after = scores.agg(F.count(F.when(F.col("raw") <= low, 1)), F.min(F.when(F.col("raw") > low, F.col("raw")))).first()
+    return low if upto > n or after is None else (low + after) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
@@ -115,7 +132,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
 
     rows = per_batch(sample, make, "quality int, x array<double>").collect()
     split = [np.array([r["x"] for r in rows if r["quality"] == q]).reshape(-1, N_FEATURES) for q in (1, 0)]
-    return learn(*split, seen[0] / (seen[0] + seen[1]))
+    model = learn(*split)
+    if model is BLANK:
+        return BLANK
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def rate(batch):
+        x = np.array([features(t) for t in batch.column(1).to_pylist()])
+        return {"doc_id": batch.column(0), "raw": shared.value.raw(x)}
+
+    asked = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 2))
+    raw = per_batch(asked, rate, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, raw double")
+    scores = stored(raw.join(known, "doc_id").select("quality", "raw"), "quality-scores")
+    return replace(model, threshold=cut_after(scores, scores.where("quality = 0").count()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -392,6 +392,17 @@ def plain_lines(rows):
 
 def test_line_dedup(spark):
     rows = [(i, t) for i, t in TEXTS if i not in (None, 9) and t is not None]
+def test_quality_threshold_covers_all_labels(spark, monkeypatch):
+    rows = [(i, " ".join(w + "***" * (random.Random(i).random() < i % 40 / 60) for w in prose(40, i).split(" "))) for i in range(600)]
+    df, labels = docs(spark, rows), spark.createDataFrame([(i, int(i % 40 < 23)) for i in range(600)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "BINS", 8)  # so that histograms are refined
+    model = quality.fit(df, labels, per_class=25)
+    taught = [(i % 40 < 23, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    raw = sorted(model.raw(np.array([quality.features(t) for _, t in taught])))
+    n = sum(not good for good, _ in taught)
+    assert model.threshold == pytest.approx((raw[n - 1] + raw[n]) / 2, abs=1e-9)
+
+
     rows += [(100 + i, "\n".join(random.Random(i).choices("abc", k=30))) for i in range(20)] + [(200, "\n\n\n\n"), (201, "\n\n"), (202, "p\nq\nr"), (203, "p\nq\nr")]
     want = plain_lines(rows)
     extra = [(9, "Two\nlines\nthree"), (9, "Two\nlines\nthree"), (3, None), (None, "p\nq\nr")]
