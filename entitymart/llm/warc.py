@@ -50,8 +50,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     rows = rows.withColumn("digest", base32_sha1(F.col("html")))
     slim = rows.where((F.octet_length("html") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "digest")
     groups = stored(slim.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
-    mapping = slim.join(groups.hint("merge"), "digest").where("page_id < last").groupBy("page_id").agg(F.max("last").alias("refers_to"))
-    return rows.join(stored(mapping, "warc-revisits").hint("merge"), "page_id", "left")
+    mapping = slim.join(groups.hint("merge"), "digest").where("page_id < last").groupBy("page_id", "digest").agg(F.max("last").alias("refers_to"))
+    return rows.join(stored(mapping, "warc-revisits").hint("merge"), ["page_id", "digest"], "left")
 
 
 def record(page_id, url, html: str, digest: str, refers_to) -> bytes:

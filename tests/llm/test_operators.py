@@ -331,6 +331,12 @@ def test_packing(spark, bpe):
     got = packing.pack(docs(spark)).collect()
     whole = {i: [*plain_ids(bpe, t), 0] for i, t in TEXTS}
     sizes = Counter(i for i, _ in TEXTS)
+def test_warc_keeps_both_pages_of_one_id(spark):
+    df = spark.createDataFrame([(1, "u", "a"), (1, "u", "b"), (2, "v", "a"), (None, "w", "b")], "page_id long, url string, html string")
+    got = warc.read_records(warc.write_archive(warc.with_revisits(df))).collect()
+    assert sorted((r["page_id"] or 0, r["refers_to"] or 0, bytes(r["payload"])) for r in got) == [(0, 0, b"b"), (1, 0, b"b"), (1, 2, b""), (2, 0, b"a")]
+
+
     assert sum(r["length"] for r in got) == sum(len(x) * sizes[i] for i, x in whole.items())
     for r in got:
         part = whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
