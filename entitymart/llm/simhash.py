@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from entitymart.llm.common import arrow_schema, batch_of, per_batch, small_batches, stored
 
 SEED, SHINGLE, BITS = 42, 3, 3
-#: Points in the sample that shapes the tree, points a shard is meant to hold, points of a leaf, and members of a group's salted part.
+#: Points in the sample that shapes the tree (and never over 1 in THIN of all), points a shard is meant to hold, points of a leaf, and members of a group's salted part.
 SAMPLE, SHARD, LEAF, PART = 1 << 17, 1 << 14, 256, 256
+THIN = 8
 #: Distances computed at once.
 CELLS = 1 << 21
 
@@ -224,7 +225,7 @@ def vantage_links(points: DataFrame, r: int = BITS, shard: int = SHARD) -> DataF
     """``points``: distinct fp, stored. Returns their groups as rows of ``MEMBERS``; a point may be in groups of several shards."""
     spark = points.sparkSession
     n = points.count()
-    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) < int(min(1.0, SAMPLE / max(1, n)) * (1 << 32))
+    share = F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) < int(min(1 / THIN, SAMPLE / max(1, n)) * (1 << 32))
     sample = np.array([r_[0] for r_ in points.where(share).collect()], dtype=np.int64).view(np.uint64)
     root, shards = tree(sample, n / max(1, len(sample)), shard)
     shared = spark.sparkContext.broadcast(root)

@@ -252,6 +252,18 @@ def test_groups_that_share_points_are_joined(spark):
     assert len(got) == 200 and {r["label"] for r in got} == {7}
 
 
+def test_tree_is_shaped_by_a_part_of_the_points(spark, monkeypatch):
+    taken, tree = [], simhash.tree
+    monkeypatch.setattr(simhash, "tree", lambda sample, *more: taken.append(len(sample)) or tree(sample, *more))
+    rng = np.random.default_rng(3)
+    fps = [int(x) for x in rng.integers(0, 1 << 62, size=2000)]
+    fps += [x ^ 1 << int(b) for x, b in zip(fps[:300], rng.integers(0, 62, size=300))]
+    points = spark.createDataFrame([(x,) for x in fps], "fp long")
+    found = simhash.vantage_links(points, 3, 256).collect()
+    assert 0 < taken[0] <= 2300 / 5
+    assert {r["fp"] for r in found} >= {*fps[:300], *fps[2000:]}
+
+
 def plain_near(rows, k=5, similarity=0.8):
     sets = []
     for i, t in rows:
