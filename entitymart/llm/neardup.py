@@ -23,6 +23,7 @@ from entitymart.llm.common import arrow_schema, batch_of, per_batch, small_batch
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS, GROUP = 20, 5, 1000
+KEY = "doc_id long, text_hash long"
 _MULTIPLY = np.random.default_rng(11).integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -39,21 +40,25 @@ def bands(h: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text): an id may repeat with another text, so documents are known by both. A null id is the greatest here."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+
+
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, fp, same, bands), stored; ``same`` is a hash of the shingle set. Texts without words have no bands."""
+    """(doc_id, text_hash, fp, same, bands), stored; ``same`` is a hash of the shingle set. Texts without words have no bands."""
 
     def make(batch):
         fps, same, keys = [], [], []
-        for text in batch.column(1).to_pylist():
+        for text in batch.column(2).to_pylist():
             h = simhash.hashes(text, k)
             fps.append(simhash.signed(simhash.fingerprint(h)))
             h = np.unique(h)
             same.append(simhash.signed(simhash.xxhash.xxh64_intdigest(h.tobytes())))
             keys.append(bands(h).tolist() if len(h) else [])
-        return {"doc_id": batch.column(0), "fp": fps, "same": same, "bands": keys}
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "fp": fps, "same": same, "bands": keys}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(per_batch(rows, make, "doc_id long, fp long, same long, bands array<long>"), "neardup-sketches")
+    return stored(per_batch(keyed(docs), make, f"{KEY}, fp long, same long, bands array<long>"), "neardup-sketches")
 
 
 def point() -> Column:
@@ -61,13 +66,14 @@ def point() -> Column:
     return F.xxhash64("fp", "same")
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, set) with the sorted shingle hashes as bytes."""
+def shingle_sets(rows: DataFrame, k: int) -> DataFrame:
+    """(doc_id, text_hash, set) of rows of ``keyed``, with the sorted shingle hashes as bytes."""
 
     def make(batch):
-        return {"doc_id": batch.column(0), "set": [np.unique(simhash.hashes(t, k)).tobytes() for t in batch.column(1).to_pylist()]}
+        sets = [np.unique(simhash.hashes(t, k)).tobytes() for t in batch.column(2).to_pylist()]
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "set": sets}
 
-    return per_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, set binary")
+    return per_batch(rows, make, f"{KEY}, set binary")
 
 
 def linked(sets: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -100,9 +106,10 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
     """Groups of points (rows of ``simhash.MEMBERS``, with ``point`` as fp) that shingle sets of at least ``similarity`` join."""
     spark = docs.sparkSession
     # One document stands for all of the same shingles.
-    texts = stored(rows.where(F.size("bands") > 0).groupBy("fp", "same").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "neardup-texts")
+    texts = stored(rows.where(F.size("bands") > 0).groupBy("fp", "same").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands")).select("fp", "same", "least.*", "bands"), "neardup-texts")
     near = stored(simhash.vantage_links(stored(texts.select("fp").distinct(), "neardup-fps")), "neardup-near")
-    columns = ["fp", "same", "doc_id"]
+    key = ["doc_id", "text_hash"]
+    columns = ["fp", "same", *key]
     each = texts.select(*columns, F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("fp"), "fp")))).alias("band"))
     each = each.unionByName(texts.join(near.select("fp", "gid"), "fp").select(*columns, F.xxhash64(F.lit("tree"), "gid").alias("band")))
     counts = each.groupBy("band").agg(F.count("*").alias("n"), F.min("same").alias("a"), F.sum(F.xxhash64("fp", "same") % (1 << 40)).alias("b")).where("n > 1")
@@ -113,9 +120,9 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
     pairs = F.when(blocks == 1, F.array(F.lit(0).cast("long"))).otherwise(
         F.transform(F.filter(other, lambda x: x != own), lambda x: F.least(x, own) * blocks + F.greatest(x, own))
     )
-    asked = stored(each.join(chosen.select("band", "n"), "band").select(point().alias("point"), "doc_id", F.explode(pairs).alias("pair"), "band"), "neardup-asked")
-    wanted = asked.select("doc_id").distinct()
-    sets = stored(shingle_sets(docs.join(stored(wanted, "neardup-wanted"), "doc_id", "left_semi"), k), "neardup-sets").dropDuplicates(["doc_id"])
+    asked = stored(each.join(chosen.select("band", "n"), "band").select(point().alias("point"), *key, F.explode(pairs).alias("pair"), "band"), "neardup-asked")
+    wanted = asked.select(*key).distinct()
+    sets = stored(shingle_sets(keyed(docs).join(stored(wanted, "neardup-wanted"), key, "left_semi"), k), "neardup-sets").dropDuplicates(key)
     target = arrow_schema(simhash.MEMBERS)
 
     def groups(batches):
@@ -146,18 +153,18 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
             yield batch_of(out, target)
 
     small_batches(spark, 256)
-    dealt = asked.join(sets, "doc_id").repartition("band", "pair").sortWithinPartitions("band", "pair")
+    dealt = asked.join(sets, key).repartition("band", "pair").sortWithinPartitions("band", "pair")
     return dealt.select("band", "pair", "point", "set").mapInArrow(work, simhash.MEMBERS)
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of their group of near duplicates.
 
-    Texts without words are one group. Rows with a null id stay; rows that repeat a kept id and its group stay; extra columns pass through.
+    Texts without words are one group. Rows with a null id stay, and link others; rows that repeat a kept id and its group stay, and where an
+    id repeats with different texts each goes or stays with its own group; extra columns pass through.
     """
     rows = sketches(docs, k)
-    known = docs.where(F.col("doc_id").isNotNull())
-    groups = similar_groups(known, rows.where(F.col("doc_id").isNotNull()), k, similarity)
-    found = simhash.with_components(rows.select("doc_id", point().alias("fp")), groups)
-    dropped = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")), "neardup-dropped")
-    return docs.join(dropped, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    groups = similar_groups(docs, rows, k, similarity)
+    found = simhash.with_components(rows.select("doc_id", "text_hash", point().alias("fp")), groups)
+    dropped = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "neardup-dropped")
+    return docs.join(dropped, (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")

@@ -307,6 +307,20 @@ def test_close_fingerprints_are_compared_by_sets(spark):
     assert got == sorted(plain_near(rows)) == [*range(24), 100]
 
 
+def test_texts_that_share_an_id_are_apart(spark):
+    near = prose(250, 60).split(" ")
+    close = " ".join(near[:-1])
+    rows = [(1, " ".join(near)), (2, close), (2, prose(90, 61)), (2, prose(80, 62)), (3, prose(80, 62)), (4, prose(70, 63)), (4, prose(60, 64))]
+    got = sorted((r["doc_id"], r["text"]) for r in neardup.keep_one(docs(spark, rows)).collect())
+    assert got == sorted(r for r in rows if r not in (rows[1], rows[4]))
+    many = [(7, prose(100 + n, 900 + n)) for n in range(12)] + [(8 + n, prose(100 + n, 900 + n) + " end") for n in range(12)]
+    assert sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, many)).collect()) == [7] * 12
+    middle, last = list(near), list(near)
+    middle[20:120:20], last[20:220:20] = ["new"] * 5, ["new"] * 10
+    chain = [(1, " ".join(near)), (None, " ".join(middle)), (5, " ".join(last))]
+    assert {r["doc_id"] for r in neardup.keep_one(docs(spark, chain)).collect()} == {1, None}
+
+
 # 6
 
 
@@ -331,6 +345,12 @@ def test_warc(spark):
     assert warc.round_trip(df.where("false")).count() == 0
 
 
+def test_warc_keeps_both_pages_of_one_id(spark):
+    df = spark.createDataFrame([(1, "u", "a"), (1, "u", "b"), (2, "v", "a"), (None, "w", "b")], "page_id long, url string, html string")
+    got = warc.read_records(warc.write_archive(warc.with_revisits(df))).collect()
+    assert sorted((r["page_id"] or 0, r["refers_to"] or 0, bytes(r["payload"])) for r in got) == [(0, 0, b"b"), (1, 0, b"b"), (1, 2, b""), (2, 0, b"a")]
+
+
 def test_ranges_are_joined():
     rows = [{"file": "a", "offset": o, "length": 10} for o in (0, 10, 20, 20 + warc.GAP_BYTES + 11)] + [{"file": "b", "offset": 0, "length": 5}]
     assert [len(x) for x in warc.ranges(rows)] == [3, 1, 1]
@@ -343,12 +363,6 @@ def test_packing(spark, bpe):
     got = packing.pack(docs(spark)).collect()
     whole = {i: [*plain_ids(bpe, t), 0] for i, t in TEXTS}
     sizes = Counter(i for i, _ in TEXTS)
-def test_warc_keeps_both_pages_of_one_id(spark):
-    df = spark.createDataFrame([(1, "u", "a"), (1, "u", "b"), (2, "v", "a"), (None, "w", "b")], "page_id long, url string, html string")
-    got = warc.read_records(warc.write_archive(warc.with_revisits(df))).collect()
-    assert sorted((r["page_id"] or 0, r["refers_to"] or 0, bytes(r["payload"])) for r in got) == [(0, 0, b"b"), (1, 0, b"b"), (1, 2, b""), (2, 0, b"a")]
-
-
     assert sum(r["length"] for r in got) == sum(len(x) * sizes[i] for i, x in whole.items())
     for r in got:
         part = whole[r["doc_id"]][r["start"] : r["start"] + r["length"]]
@@ -392,6 +406,17 @@ def test_quality(spark):
     assert blank.where("quality_score < 0.7 - 1e-9").count() == 0
 
 
+def test_quality_threshold_covers_all_labels(spark, monkeypatch):
+    rows = [(i, " ".join(w + "***" * (random.Random(i).random() < i % 40 / 60) for w in prose(40, i).split(" "))) for i in range(600)]
+    df, labels = docs(spark, rows), spark.createDataFrame([(i, int(i % 40 < 23)) for i in range(600)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "BINS", 8)  # so that histograms are refined
+    model = quality.fit(df, labels, per_class=25)
+    taught = [(i % 40 < 23, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    raw = sorted(model.raw(np.array([quality.features(t) for _, t in taught])))
+    n = sum(not good for good, _ in taught)
+    assert model.threshold == pytest.approx((raw[n - 1] + raw[n]) / 2, abs=1e-9)
+
+
 # 9
 
 
@@ -410,17 +435,6 @@ def plain_lines(rows):
 
 def test_line_dedup(spark):
     rows = [(i, t) for i, t in TEXTS if i not in (None, 9) and t is not None]
-def test_quality_threshold_covers_all_labels(spark, monkeypatch):
-    rows = [(i, " ".join(w + "***" * (random.Random(i).random() < i % 40 / 60) for w in prose(40, i).split(" "))) for i in range(600)]
-    df, labels = docs(spark, rows), spark.createDataFrame([(i, int(i % 40 < 23)) for i in range(600)], "doc_id long, quality int")
-    monkeypatch.setattr(quality, "BINS", 8)  # so that histograms are refined
-    model = quality.fit(df, labels, per_class=25)
-    taught = [(i % 40 < 23, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
-    raw = sorted(model.raw(np.array([quality.features(t) for _, t in taught])))
-    n = sum(not good for good, _ in taught)
-    assert model.threshold == pytest.approx((raw[n - 1] + raw[n]) / 2, abs=1e-9)
-
-
     rows += [(100 + i, "\n".join(random.Random(i).choices("abc", k=30))) for i in range(20)] + [(200, "\n\n\n\n"), (201, "\n\n"), (202, "p\nq\nr"), (203, "p\nq\nr")]
     want = plain_lines(rows)
     extra = [(9, "Two\nlines\nthree"), (9, "Two\nlines\nthree"), (3, None), (None, "p\nq\nr")]
