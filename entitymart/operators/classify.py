@@ -41,3 +41,18 @@ def classify(claims: Column, profile: Profile = MUSIC) -> Column:
         return bound(targets(claims, left[0], empty=True), lambda x: bind(left[1:], found | {left[0]: x}))
 
     return bind(props, {})
+
+
+def _named(claims: Column, prop: str, ids: list[str]) -> Column:
+    return F.transform(F.filter(targets(claims, prop), lambda x: x.isin(*ids)), lambda x: F.concat(F.lit(f"{prop} "), x))
+
+
+def branches(claims: Column, profile: Profile = MUSIC) -> Column:
+    """Every way in which an entity belongs, whichever rule decided: ``P106 Q639669`` for each id of a rule that a claim names, ``P136`` for
+    each catch-all property that is present; in order, without repeats."""
+    ids: dict[str, list[str]] = {}
+    for r in profile.rules:
+        ids.setdefault(r.prop, []).extend(r.ids)
+    named = [_named(claims, prop, of) for prop, of in ids.items()]
+    present = F.array_intersect(F.map_keys(claims), F.array(*map(F.lit, profile.catch_all)))
+    return F.array_sort(F.array_distinct(F.concat(*named, F.coalesce(present, F.array().cast("array<string>")))))

@@ -1,4 +1,7 @@
-"""One-hop details of many ids at once, pages per group, and cards. ``hits`` is a frame with a column id, such as a search result."""
+"""One-hop details of many ids at once, pages per group, and cards. ``hits`` is a frame with a column id, such as a search result.
+
+A detail row's ``place`` numbers the rows of one id from 1, in the order in which they are to be shown.
+"""
 
 from __future__ import annotations
 
@@ -8,65 +11,61 @@ from pyspark.sql import functions as F
 UNKNOWN = "(unknown)"
 
 
-def of(hits: DataFrame, junction: DataFrame, own: str, other: str, table: DataFrame | None, columns: list[str]) -> DataFrame:
-    """Rows of ``table`` that the junction ties to the hits; without a table the junction's own rows."""
+def of(hits: DataFrame, junction: DataFrame, own: str, other: str, table: DataFrame | None, columns: list[str], order: list[str] | None = None) -> DataFrame:
+    """Rows of ``table`` that the junction ties to the hits, with their place by ``order`` (nulls last, then ids); without a table the junction's own rows."""
     tied = junction.join(hits.select(F.col("id").alias(own)).distinct(), own)
-    if table is None:
-        return tied.select(own, *columns)
-    kept = [c for c in columns if c in table.columns]
-    return tied.join(table.select(F.col("id").alias(other), *[F.col(c) for c in kept if c != other]), other).select(own, other, *[c for c in columns if c != other])
+    if table is not None:
+        kept = [c for c in columns if c in table.columns and c != other]
+        tied = tied.join(table.select(F.col("id").alias(other), *kept), other)
+    by = Window.partitionBy(own).orderBy(*[F.col(c).asc_nulls_last() for c in order or []], other)
+    return tied.withColumn("place", F.row_number().over(by)).select(own, other, *[c for c in columns if c != other], "place")
 
 
 def artist_genres(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["artist_genre"], "artist_id", "genre_id", t["genre"], ["name"])
+    return of(hits, t["artist_genre"], "artist_id", "genre_id", t["genre"], ["name"], ["name"])
 
 
 def artist_albums(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["album_artist"], "artist_id", "album_id", t["album"], ["name", "release_date", "role"])
+    return of(hits, t["album_artist"], "artist_id", "album_id", t["album"], ["name", "release_date", "role"], ["name"])
 
 
 def artist_instruments(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["artist_instrument"], "artist_id", "instrument_id", None, ["instrument_id"])
+    return of(hits, t["artist_instrument"], "artist_id", "instrument_id", None, [])
 
 
 def album_artists(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["album_artist"], "album_id", "artist_id", t["artist"], ["name", "role"])
+    return of(hits, t["album_artist"], "album_id", "artist_id", t["artist"], ["name", "role"], ["name"])
 
 
 def album_genres(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["album_genre"], "album_id", "genre_id", t["genre"], ["name"])
+    return of(hits, t["album_genre"], "album_id", "genre_id", t["genre"], ["name"], ["name"])
 
 
 def album_tracks(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    return of(hits, t["track_album"], "album_id", "track_id", t["track"], ["name", "duration_seconds", "track_number"])
+    return of(hits, t["track_album"], "album_id", "track_id", t["track"], ["name", "duration_seconds", "track_number"], ["track_number"])
 
 
 def genre_artists(hits: DataFrame, t: dict[str, DataFrame], limit: int = 20, offset: int = 0) -> DataFrame:
-    """A page of artists by name for each genre, with its place. Each task keeps its first rows of a genre before the shuffle."""
-    rows = of(hits, t["artist_genre"], "genre_id", "artist_id", t["artist"], ["name"])
-    place = F.row_number().over(Window.partitionBy("genre_id").orderBy(F.col("name").asc_nulls_last(), "artist_id"))
-    return rows.withColumn("place", place).where((F.col("place") <= offset + limit) & (F.col("place") > offset))
-
-
-def in_order(key: list[Column], text: Column) -> Column:
-    """Texts of a group as one list in the order of ``key``."""
-    cells = F.array_sort(F.collect_list(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)], text.alias("text"))))
-    return F.transform(cells, lambda c: c["text"])
+    """A page of artists by name for each genre. Each task keeps its first rows of a genre before the shuffle."""
+    rows = of(hits, t["artist_genre"], "genre_id", "artist_id", t["artist"], ["name"], ["name"])
+    return rows.where((F.col("place") <= offset + limit) & (F.col("place") > offset))
 
 
-def attach(hits: DataFrame, rows: DataFrame, own: str, name: str, key: list[Column], text: Column, separator: str) -> DataFrame:
-    lists = rows.groupBy(F.col(own).alias("id")).agg(F.array_join(in_order(key, text), separator).alias(name))
+def attach(hits: DataFrame, rows: DataFrame, own: str, name: str, text: Column, separator: str) -> DataFrame:
+    """``hits`` with the texts of each one's rows as one text, in the order of their places."""
+    cells = F.array_sort(F.collect_list(F.struct("place", text.alias("text"))))
+    lists = rows.groupBy(F.col(own).alias("id")).agg(F.array_join(F.transform(cells, lambda c: c["text"]), separator).alias(name))
     return hits.join(lists, "id", "left").withColumn(name, F.coalesce(name, F.lit("")))
 
 
-def nulls_last(c: str) -> list[Column]:
-    return [F.col(c).isNull(), F.coalesce(F.col(c).cast("string"), F.lit(""))]
+def with_role(name: Column) -> Column:
+    return F.concat(name, F.lit(" ("), "role", F.lit(")"))
 
 
 def artist_cards(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
-    cards = attach(hits, artist_genres(hits, t), "artist_id", "genres", [F.col("name"), F.col("genre_id")], F.col("name"), ", ")
-    cards = attach(cards, artist_albums(hits, t), "artist_id", "albums", [F.col("name"), F.col("album_id")], F.concat("name", F.lit(" ("), "role", F.lit(")")), "; ")
-    return attach(cards, artist_instruments(hits, t), "artist_id", "instruments", [F.col("instrument_id")], F.col("instrument_id"), ", ")
+    cards = attach(hits, artist_genres(hits, t), "artist_id", "genres", F.col("name"), ", ")
+    cards = attach(cards, artist_albums(hits, t), "artist_id", "albums", with_role(F.col("name")), "; ")
+    return attach(cards, artist_instruments(hits, t), "artist_id", "instruments", F.col("instrument_id"), ", ")
 
 
 def clock(seconds: Column) -> Column:
@@ -75,14 +74,12 @@ def clock(seconds: Column) -> Column:
 
 def album_cards(hits: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
     """Artists with roles, genres, and tracks as ``02. Name (3:05)`` or ``  - Name`` where number or duration is unknown."""
-    cards = attach(hits, album_artists(hits, t), "album_id", "artists", [*nulls_last("name"), F.col("artist_id")], F.concat(F.coalesce("name", F.lit(UNKNOWN)), F.lit(" ("), "role", F.lit(")")), "; ")
-    cards = attach(cards, album_genres(hits, t), "album_id", "genres", [F.col("name"), F.col("genre_id")], F.col("name"), ", ")
+    cards = attach(hits, album_artists(hits, t), "album_id", "artists", with_role(F.coalesce("name", F.lit(UNKNOWN))), "; ")
+    cards = attach(cards, album_genres(hits, t), "album_id", "genres", F.col("name"), ", ")
     number = F.when(F.col("track_number").isNotNull(), F.format_string("%02d.", "track_number")).otherwise("  -")
     lasts = F.when(F.col("duration_seconds").isNotNull(), F.concat(F.lit(" ("), clock(F.col("duration_seconds")), F.lit(")"))).otherwise("")
-    order = [F.coalesce(F.col("track_number"), F.lit(1 << 30)), F.col("track_id")]
-    return attach(cards, album_tracks(hits, t), "album_id", "tracks", order, F.concat(number, F.lit(" "), "name", lasts), "; ")
+    return attach(cards, album_tracks(hits, t), "album_id", "tracks", F.concat(number, F.lit(" "), "name", lasts), "; ")
 
 
 def genre_cards(hits: DataFrame, t: dict[str, DataFrame], limit: int = 20) -> DataFrame:
-    rows = genre_artists(hits, t, limit)
-    return attach(hits, rows, "genre_id", "artists", [F.col("place")], F.coalesce("name", F.lit(UNKNOWN)), "; ")
+    return attach(hits, genre_artists(hits, t, limit), "genre_id", "artists", F.coalesce("name", F.lit(UNKNOWN)), "; ")

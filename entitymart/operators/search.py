@@ -64,6 +64,6 @@ def token_search(df: DataFrame, index: DataFrame, term: str, columns: list[str],
     scored = hits.join(F.broadcast(common), "token").crossJoin(F.broadcast(stats))  # words of the term; one row
     idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
-    scores = scored.groupBy("id").agg(F.sum(weight).alias("score"))
+    scores = scored.groupBy("id").agg(F.round(F.sum(weight), 9).alias("score"))  # so that the order of addition decides no tie
     found = df.join(scores, "id").withColumn("exact", F.coalesce(F.col("name") == term, F.lit(False)))
     return found.orderBy(F.col("exact").desc(), F.col("score").desc(), F.col("name").asc_nulls_last(), "id").limit(top).select("id", "name", "score")

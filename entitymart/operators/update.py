@@ -5,15 +5,18 @@ A batch's agents count as present for its own references, whatever the order of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from entitymart.operators.classify import branches
 from entitymart.operators.extract import staged_columns
 from entitymart.operators.merge import insert_or_ignore, insert_or_replace
 from entitymart.operators.tables import agents, of_agents, performers, track_album
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
-from entitymart.sources.dump import triage
+from entitymart.sources.dump import decode, triage
 from entitymart.sources.storage import stored
 
 ENTITY_PREFIX = "http://www.wikidata.org/entity/"
@@ -28,9 +31,12 @@ def decode_bindings(responses: DataFrame, prefix: str = ENTITY_PREFIX) -> DataFr
 
 
 def decode_envelope(responses: DataFrame) -> DataFrame:
-    """(qid, value) of ``{"entities": {qid: entity}}``; a response without entities gives a row of nulls, an error for its caller."""
+    """(qid, value, problem) of ``{"entities": {qid: entity}}``. A response without entities, or with an entity marked as missing, gives a row
+    that says so in ``problem``, for its caller to try again or report."""
     entities = F.from_json(F.get_json_object("value", "$.entities"), "map<string,string>")
-    return responses.select(F.explode_outer(entities).alias("qid", "value"))
+    rows = responses.select(F.explode_outer(entities).alias("qid", "value"))
+    missing = F.col("value").isNull() | F.get_json_object("value", "$.missing").isNotNull()
+    return rows.withColumn("problem", F.when(F.col("qid").isNull(), "no entity in the response").when(missing, "the entity is missing"))
 
 
 def modified_since(changes: DataFrame, since: Column, profile: Profile = MUSIC) -> DataFrame:
@@ -39,9 +45,32 @@ def modified_since(changes: DataFrame, since: Column, profile: Profile = MUSIC)
     return recent.where("status = 'filtered'").select(F.col("entity.id").alias("qid")).distinct()
 
 
-def keyset_page(df: DataFrame, cursor: str, n: int, key: str = "id") -> DataFrame:
+def matched_branches(changes: DataFrame, since: Column, profile: Profile = MUSIC) -> DataFrame:
+    """(qid, branch): why entities changed at ``since`` or later belong in the catalog, for an audit of ``modified_since``."""
+    rows = decode(changes.where(F.col("modified") >= since).select(F.lit("").alias("file"), "value"))
+    found = rows.where("entity.id is not null and entity.type is not null and entity.broken is null")
+    return found.select(F.col("entity.id").alias("qid"), F.explode(branches(F.col("entity.claims"), profile)).alias("branch")).distinct()
+
+
+def keyset_page(df: DataFrame, cursor: str | None, n: int, key: str = "id") -> DataFrame:
     """The next ``n`` rows after ``cursor`` in key order: a pushed filter and a top-n, no offset."""
-    return df.where(F.col(key) > cursor).orderBy(key).limit(n)
+    return (df if cursor is None else df.where(F.col(key) > cursor)).orderBy(key).limit(n)
+
+
+def keyset_pages(page: Callable[[str | None], DataFrame], n: int, key: str = "id", most: int = 10_000) -> Iterator[list[Row]]:
+    """All pages in turn, each brought to the caller, up to the first with fewer than ``n`` rows. ``page`` gives the rows after a cursor. A cursor
+    that stands still and a source of over ``most`` pages are errors: they would never end."""
+    cursor = None
+    for _ in range(most):
+        rows = page(cursor).collect()  # n rows at most
+        if rows:
+            yield rows
+        if len(rows) < n:
+            return
+        if cursor is not None and rows[-1][key] <= cursor:
+            raise ValueError(f"the page after {cursor} ends at {rows[-1][key]}")
+        cursor = rows[-1][key]
+    raise ValueError(f"more than {most} pages")
 
 
 def newest(changes: DataFrame) -> DataFrame:
@@ -120,15 +149,29 @@ def ids_after(table: DataFrame, batch: DataFrame, role: str) -> DataFrame:
 
 
 def upsert(t: dict[str, DataFrame], batch: DataFrame) -> dict[str, DataFrame]:
-    """All tables after a batch of staged rows (stored: many tables read it): agents first, then albums, then tracks."""
+    """All tables after a batch of staged rows (stored: many tables read it): agents first, then albums, then tracks. Tables of roles that the batch
+    does not hold stay the frames they were."""
+    roles = {r[0] for r in batch.select("role").distinct().collect()}  # three at most
+    if not roles:
+        return dict(t)
     new = t | {"qid_label": upsert_labels(t["qid_label"], batch)}
-    new |= upsert_agents(new, batch)
-    artist, album = ids_after(t["artist"], batch, "Agent"), ids_after(t["album"], batch, "Album")
-    new |= upsert_albums(new, batch, artist)
-    return new | upsert_tracks(new, batch, artist, album)
+    artist, album = t["artist"].select("id"), t["album"].select("id")
+    if "Agent" in roles:
+        new |= upsert_agents(new, batch)
+        artist = ids_after(t["artist"], batch, "Agent")
+    if "Album" in roles:
+        new |= upsert_albums(new, batch, artist)
+        album = ids_after(t["album"], batch, "Album")
+    return new | (upsert_tracks(new, batch, artist, album) if "Track" in roles else {})
 
 
 def cursor_after(changes: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """The sync cursor as a one-row table: the newest change seen, which a batch without changes leaves alone."""
-    new = changes.agg(F.max("modified").alias("at")).where("at is not null").select(F.lit(CURSOR).alias("key"), F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("value"))
+    at = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    new = changes.agg(F.max("modified").alias("at")).where("at is not null").select(F.lit(CURSOR).alias("key"), at.alias("value"))
     return new if before is None else insert_or_replace(before, new, ["key"])
+
+
+def cursor_of(sync_state: DataFrame | None) -> str | None:
+    row = sync_state.where(F.col("key") == CURSOR).first() if sync_state is not None else None
+    return row["value"] if row else None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entitymart.operators import enrich, tables, update
 from entitymart.operators.extract import enrichment, entry_columns, genre_entries, label_entries, staged_columns
-from entitymart.operators.merge import one_per_key
+from entitymart.operators.merge import insert_or_replace, one_per_key
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
 from entitymart.sources.dump import triage
@@ -64,3 +64,20 @@ def run_update(t: dict[str, DataFrame], changes: DataFrame) -> tuple[dict[str, D
     """Tables after a batch of changes (qid, modified, value), and what was decided for each entity."""
     decided = stored(update.outcomes(changes, t["artist"]), "decided")
     return update.upsert(t, stored(decided.where("outcome = 'upserted'").select("staged.*"), "batch")), decided
+
+
+def sync(t: dict[str, DataFrame], changes: DataFrame, since: str | None = None, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame | None]:
+    """An update from where the last one ended, or from ``since`` (an ISO time), and the cursor's new place in ``sync_state``. Without either it
+    fails. A dry run only decides; without changes nothing is decided and nothing moves."""
+    since = since or update.cursor_of(t.get("sync_state"))
+    if since is None:
+        raise ValueError("no update has run on these tables: say since when")
+    recent = changes.where(F.col("modified") >= F.lit(since).cast("timestamp"))
+    if dry_run:
+        return t, update.outcomes(recent, t["artist"])
+    cursor = stored(update.cursor_after(recent), "cursor")
+    if cursor.isEmpty():
+        return t, None
+    new, decided = run_update(t, recent)
+    state = t.get("sync_state")
+    return new | {"sync_state": cursor if state is None else insert_or_replace(state, cursor, KEYS["sync_state"])}, decided

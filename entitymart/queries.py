@@ -8,17 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymart.operators import audit, details, enrich, search, update
+from entitymart.operators import audit, details, enrich, search, tables, update
 from entitymart.operators.merge import insert_or_ignore
-from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, run_update
-from entitymart.schemas import KEYS
+from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, sync
+from entitymart.schemas import FOREIGN_KEYS, KEYS
 from entitymart.sources import feed, staging
 from entitymart.sources.dump import counters, rejects, scan
 from entitymart.sources.storage import latest, publish, shared_folder, stored
 from entitymart.streaming.updates import start
 
 ARTIST_TERM, ALBUM_TERM, TRACK_TERM, GENRE_TERM, ALL_TERM = "0001", "Order 1", "Item 1", "A", "er 1"
-SINCE = "1998-01-01"
+SINCE, LONG_AGO = "1998-01-01", "0001-01-01"
+PAGE = 5000
+FTS = {"artist": "machinery 000000012", "album": "order 12", "track": "item 12 1"}
 
 
 class Catalog:
@@ -51,7 +53,7 @@ class Catalog:
 
     @functools.cached_property
     def updated(self) -> tuple[dict[str, DataFrame], DataFrame]:
-        return run_update(self.tables, self.changes)
+        return sync(self.tables, self.changes, LONG_AGO)
 
 
 _catalogs: dict[tuple[str, str], Catalog] = {}
@@ -98,12 +100,13 @@ def bindings(c: Catalog) -> DataFrame:
 
 
 def envelopes(c: Catalog) -> DataFrame:
+    """Suppliers as a service would send them; every seventh is missing there."""
     supplier = c.spark.read.parquet(f"{c.sf_dir}/supplier.parquet")
     qid = feed.qid("QS", F.col("s_suppkey"))
     line = feed.line(qid, F.col("s_name"), feed.claims(P31=[feed.target(F.lit("Q215380"))]))
-    value = F.concat(F.lit('{"entities":{"'), qid, F.lit('":'), F.regexp_replace(line, ",$", ""), F.lit("}}"))
-    found = update.decode_envelope(supplier.select(value.alias("value")))
-    return found.select("qid", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.labels.en.value").alias("label"))
+    entity = F.when(F.col("s_suppkey") % 7 == 0, F.concat(F.lit('{"id":"'), qid, F.lit('","missing":""}'))).otherwise(F.regexp_replace(line, ",$", ""))
+    found = update.decode_envelope(supplier.select(F.concat(F.lit('{"entities":{"'), qid, F.lit('":'), entity, F.lit("}}")).alias("value")))
+    return found.select("qid", F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.labels.en.value").alias("label"), "problem")
 
 
 def update_stream(c: Catalog) -> DataFrame:
@@ -113,12 +116,46 @@ def update_stream(c: Catalog) -> DataFrame:
     c.changes.write.json(landing)
     changes = c.spark.readStream.schema("qid string, modified timestamp, value string").json(landing)
     start(changes, root, shared_folder(c.spark, "stream-checkpoint")).awaitTermination()
-    return texts(latest(c.spark, root)[1]["artist"])
+    return texts(latest(c.spark, root).tables["artist"])
 
 
-def fts_artist(c: Catalog) -> DataFrame:
-    columns = ["name", "description"]
-    return search.token_search(c.tables["artist"], stored(search.token_index(c.tables["artist"], columns), "tokens"), "machinery 000000012", columns)
+def fts(table: str, *columns: str) -> Callable[[Catalog], DataFrame]:
+    def run(c: Catalog) -> DataFrame:
+        index = stored(search.token_index(c.tables[table], list(columns)), "tokens")
+        return search.token_search(c.tables[table], index, FTS[table], list(columns))
+
+    return run
+
+
+def layout(name: str, make: Callable[[Catalog], DataFrame], *columns: str) -> Callable[[Catalog], DataFrame]:
+    """A table through a file of the named layout."""
+
+    def run(c: Catalog) -> DataFrame:
+        path = shared_folder(c.spark, name)
+        staging.write_layout(make(c), name, path)
+        return texts(staging.read_layout(c.spark, name, path)).select(*columns)
+
+    return run
+
+
+def keyset_pages(c: Catalog) -> DataFrame:
+    """A row for each page of all artists."""
+    ids = c.tables["artist"].select("id")
+    pages = update.keyset_pages(lambda cursor: update.keyset_page(ids, cursor, PAGE), PAGE)
+    found = [(i, rows[0]["id"], rows[-1]["id"], len(rows)) for i, rows in enumerate(pages)]
+    return c.spark.createDataFrame(found, "page int, first string, last string, n int")
+
+
+def dangling(c: Catalog) -> DataFrame:
+    """The audit over references as they were staged, before any guard."""
+    t, staged = c.first.tables, c.first.staged
+    of_role = lambda role, name: staged.where(F.col("role") == role).select(F.col("id").alias(name), F.explode("performers.qid").alias("artist_id")).distinct()
+    raw = {
+        "artist_genre": tables.of_agents(staged, "genres", "genre_id"), "artist_member_of": tables.of_agents(staged, "member_of", "group_id"),
+        "album_artist": of_role("Album", "album_id"), "track_artist": of_role("Track", "track_id"),
+    }
+    parents = {name: t[name] for name in ("artist", "genre", "album", "track")}
+    return audit.orphans(raw | parents)
 
 
 def tables_query(name: str) -> Callable[[Catalog], DataFrame]:
@@ -172,7 +209,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "artist_instruments": lambda c: details.artist_instruments(artist_hits(c), c.tables),
     "album_artists": lambda c: details.album_artists(album_hits(c), c.tables),
     "album_genres": lambda c: details.album_genres(album_hits(c), c.tables),
-    "album_tracks": lambda c: details.album_tracks(album_hits(c), c.tables).drop("track_number"),
+    "album_tracks": lambda c: details.album_tracks(album_hits(c), c.tables),
     "genre_artists": lambda c: details.genre_artists(genre_hits(c), c.tables),
     "artist_cards": lambda c: texts(details.artist_cards(artist_hits(c), c.tables)),
     "album_cards": lambda c: texts(details.album_cards(album_hits(c), c.tables)),
@@ -190,6 +227,8 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "track_album_enriched": lambda c: c.tables["track_album"].select("track_id", "album_id"),
     "resolution_counts": lambda c: audit.resolution(c.tables),
     "modified_since": lambda c: update.modified_since(c.changes, F.lit(SINCE).cast("timestamp")),
+    "branch_audit": lambda c: update.matched_branches(c.changes, F.lit(SINCE).cast("timestamp")).groupBy("branch").agg(F.count("*").alias("n")),
+    "keyset_pages": keyset_pages,
     "keyset_page": lambda c: update.keyset_page(c.tables["artist"].select("id"), "QC5", 50),
     "decode_bindings": bindings,
     "decode_envelope": envelopes,
@@ -198,12 +237,21 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "upsert_track": lambda c: c.updated[0]["track"],
     "upsert": lambda c: audit.summary(c.updated[0]),
     "update_summary": lambda c: update.summary(c.updated[1]),
-    "update_dry_run": lambda c: update.plan(c.updated[1]),
-    "sync_state": lambda c: update.cursor_after(c.changes),
+    "update_dry_run": lambda c: update.plan(sync(c.tables, c.changes, LONG_AGO, dry_run=True)[1]),
+    "sync_state": lambda c: c.updated[0]["sync_state"],
     "update_stream": update_stream,
     "stage_roundtrip": stage_roundtrip,
     "flat_roundtrip": flat_roundtrip,
-    "fts_artist": fts_artist,
+    "reject_file": layout("rejects", lambda c: rejects(c.first.triaged), "raw", "reason"),
+    "genre_file": layout("genres", lambda c: c.first.tables["genre"], "id", "name"),
+    "labels_file": layout("labels", lambda c: c.second.labels, "qid", "label", "description"),
+    "enrichment_file": layout(
+        "enrichment", lambda c: c.second.enriched, "entity_qid", "entity_type", "release_date", "record_label_qid", "duration_seconds", "genre_qid", "parent_album_qid"
+    ),
+    "dangling_references": dangling,
+    "fts_artist": fts("artist", "name", "description"),
+    "fts_album": fts("album", "name"),
+    "fts_track": fts("track", "name"),
 }
 
 
@@ -229,13 +277,13 @@ a0 AS (
   FROM c0 WHERE seg <> 'HOUSEHOLD'
   UNION ALL SELECT 'QS' || s_suppkey, s_name, NULL, 'group', 'P31:Q215380', NULL, NULL FROM supplier),
 o0 AS (
-  SELECT o_orderkey AS k, 'QO' || o_orderkey AS id, CASE WHEN o_orderkey % 11 <> 0 THEN 'Order ' || o_orderkey END AS label, 'QC' || o_custkey AS perf,
+  SELECT o_orderkey AS k, 'QO' || o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN 'Q' || o_orderkey ELSE 'Order ' || o_orderkey END AS label, 'QC' || o_custkey AS perf,
     CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-01') WHEN 2 THEN strftime(o_orderdate, '%Y-01-01') END AS release_date,
-    'QL' || (o_orderkey % 50) AS lab, 'QN' || (o_orderkey % 25) AS g, o_orderdate FROM orders),
+    'QL' || (o_orderkey % (SELECT count(*) FROM part)) AS lab, 'QN' || (o_orderkey % 25) AS g, o_orderdate FROM orders),
 t0 AS (
   SELECT 'QT' || l_orderkey || 'x' || l_linenumber AS id, 'Item ' || l_orderkey || '-' || l_linenumber AS name, 'QO' || l_orderkey AS alb, 'QS' || l_suppkey AS perf,
     CASE WHEN l_linenumber % 3 <> 2 THEN CAST(l_quantity AS BIGINT) * 10 END AS dur, l_orderkey AS k, l_shipdate FROM lineitem),
-l0 AS (SELECT 'QL' || p_partkey AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS label FROM part WHERE p_partkey < 50),
+l0 AS (SELECT 'QL' || p_partkey AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS label FROM part),
 genre AS (SELECT 'QN' || n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey % 7 <> 0 AND 'QN' || n_nationkey IN (
   SELECT g FROM c0 WHERE seg IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') UNION SELECT g FROM o0)),
 artist_genre AS (SELECT id AS artist_id, g AS genre_id FROM c0 WHERE seg IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') AND g IN (SELECT id FROM genre)),
@@ -276,6 +324,18 @@ uartist AS (SELECT artist.id, CASE WHEN uc.id IS NULL THEN artist.name WHEN k %
   FROM artist LEFT JOIN uc ON uc.id = artist.id)
 """
 
+def _bm25(table: str, *columns: str, k1: float = 1.2, b: float = 0.75) -> str:
+    words = lambda text: f"list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
+    return f""", fd AS (SELECT id, name, {words(f"concat_ws(' ', {', '.join(columns)})")} AS w FROM {table}),
+fn AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM fd),
+ft AS (SELECT id, len(w) AS len, unnest(w) AS token FROM fd),
+fq AS (SELECT DISTINCT unnest({words(f"'{FTS[table]}'")}) AS token),
+fh AS (SELECT id, len, token, count(*) AS tf FROM ft SEMI JOIN fq USING (token) GROUP BY ALL),
+fc AS (SELECT token, count(*) AS df FROM fh GROUP BY 1),
+fs AS (SELECT id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {k1 + 1} / (tf + {k1} * ({1 - b} + {b} * len / mean))), 9) AS score FROM fh JOIN fc USING (token), fn GROUP BY 1)
+SELECT id, name, score FROM fd JOIN fs USING (id) ORDER BY coalesce(name = '{FTS[table]}', false) DESC, score DESC, name NULLS LAST, id LIMIT 100"""
+
+
 _SELECT = {
     "line_triage": """SELECT 2 + (SELECT count(*) FROM nation) + b + p + 1 + s + c + o + l AS processed, a + o + l AS filtered, b AS rejected, (SELECT count(*) FROM nation) + p + 1 + c + s - a AS excluded,
   CAST(2 AS BIGINT) AS brackets FROM (SELECT (SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0) AS b, (SELECT count(*) FROM l0) AS p, (SELECT s FROM ns) AS s, (SELECT n FROM nc) AS c,
@@ -301,10 +361,16 @@ _SELECT = {
         f"SELECT '{name}' AS table_name, count(*) AS n FROM {source}"
         for name, source in {"album": "album0", "artist": "a0", "track": "track0"}.items() | {(x, x) for x in ("album_artist", "artist_genre", "artist_instrument", "artist_member_of", "genre", "track_album", "track_artist")}
     ),
-    "orphan_audit": "SELECT m AS metric, CAST(0 AS BIGINT) AS n FROM (VALUES " + ", ".join(f"('{c}.{k}')" for c, k, _ in audit.FOREIGN_KEYS) + ") v(m)",
+    "orphan_audit": " UNION ALL ".join(f"SELECT '{c}.{k}' AS metric, count(*) AS n FROM {c} WHERE {k} NOT IN (SELECT id FROM {p})" for c, k, p in FOREIGN_KEYS),
+    "dangling_references": """SELECT 'artist_genre.artist_id' AS metric, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'artist_member_of.artist_id', 0 UNION ALL SELECT 'album_artist.album_id', 0
+  UNION ALL SELECT 'track_artist.track_id', 0 UNION ALL SELECT 'artist_genre.genre_id', count(*) FROM c0 WHERE seg IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') AND g NOT IN (SELECT id FROM genre)
+  UNION ALL SELECT 'artist_member_of.group_id', count(*) FROM c0 WHERE seg IN ('MACHINERY', 'BUILDING') AND grp NOT IN (SELECT id FROM a0)
+  UNION ALL SELECT 'album_artist.artist_id', count(*) FROM o0 WHERE perf NOT IN (SELECT id FROM a0)
+  UNION ALL SELECT 'track_artist.artist_id', count(*) FROM (SELECT DISTINCT id, perf FROM t0 WHERE perf NOT IN (SELECT id FROM a0))""",
     "battery": """SELECT 'role_overlap' AS metric, count(*) AS n FROM album JOIN artist ON album.id = artist.id UNION ALL SELECT 'artists_with_albums', count(DISTINCT artist_id) FROM album_artist
   UNION ALL SELECT 'track_album_rows', count(*) FROM track_album UNION ALL SELECT 'tracks_with_duration', count(duration_seconds) FROM track
-  UNION ALL SELECT 'albums_with_date', count(release_date) FROM album UNION ALL SELECT 'albums_named_by_id', count(*) FROM album WHERE name = id""",
+  UNION ALL SELECT 'albums_with_date', count(release_date) FROM album UNION ALL SELECT 'albums_named_by_id', count(*) FROM album WHERE name = id
+  UNION ALL SELECT 'albums_named_like_an_id', count(*) FROM album WHERE regexp_matches(name, '^Q[0-9]+$')""",
     "idempotent_load": "SELECT * FROM artist",
     "search_artist": "SELECT id, name, description, artist_type, birth_date, death_date FROM ah",
     "search_album": "SELECT * FROM bh",
@@ -312,12 +378,12 @@ _SELECT = {
     "search_genre": "SELECT * FROM gh",
     "search_all": """SELECT * FROM (SELECT 'artist' AS kind, id, name FROM artist WHERE name LIKE '%er 1%' OR description LIKE '%er 1%' ORDER BY name NULLS LAST, id LIMIT 100)
   UNION ALL SELECT * FROM (SELECT 'album', id, name FROM album WHERE name LIKE '%er 1%' ORDER BY name, id LIMIT 100) UNION ALL SELECT * FROM (SELECT 'track', id, name FROM track WHERE name LIKE '%er 1%' ORDER BY name, id LIMIT 100)""",
-    "artist_genres": "SELECT artist_id, genre_id, genre.name FROM ah JOIN artist_genre ON artist_id = ah.id JOIN genre ON genre.id = genre_id",
-    "artist_albums": "SELECT artist_id, album_id, album.name, release_date, role FROM ah JOIN album_artist ON artist_id = ah.id JOIN album ON album.id = album_id",
-    "artist_instruments": "SELECT artist_id, instrument_id FROM ah JOIN artist_instrument ON artist_id = ah.id",
-    "album_artists": "SELECT album_id, artist_id, artist.name, role FROM bh JOIN album_artist ON album_id = bh.id JOIN artist ON artist.id = artist_id",
-    "album_genres": "SELECT album_id, genre_id, genre.name FROM bh JOIN album_genre ON album_id = bh.id JOIN genre ON genre.id = genre_id",
-    "album_tracks": "SELECT album_id, track_id, track.name, duration_seconds FROM bh JOIN track_album ON album_id = bh.id JOIN track ON track.id = track_id",
+    "artist_genres": "SELECT artist_id, genre_id, genre.name, row_number() OVER (PARTITION BY artist_id ORDER BY genre.name NULLS LAST, genre_id) AS place FROM ah JOIN artist_genre ON artist_id = ah.id JOIN genre ON genre.id = genre_id",
+    "artist_albums": "SELECT artist_id, album_id, album.name, release_date, role, row_number() OVER (PARTITION BY artist_id ORDER BY album.name NULLS LAST, album_id) AS place FROM ah JOIN album_artist ON artist_id = ah.id JOIN album ON album.id = album_id",
+    "artist_instruments": "SELECT artist_id, instrument_id, row_number() OVER (PARTITION BY artist_id ORDER BY instrument_id) AS place FROM ah JOIN artist_instrument ON artist_id = ah.id",
+    "album_artists": "SELECT album_id, artist_id, artist.name, role, row_number() OVER (PARTITION BY album_id ORDER BY artist.name NULLS LAST, artist_id) AS place FROM bh JOIN album_artist ON album_id = bh.id JOIN artist ON artist.id = artist_id",
+    "album_genres": "SELECT album_id, genre_id, genre.name, row_number() OVER (PARTITION BY album_id ORDER BY genre.name NULLS LAST, genre_id) AS place FROM bh JOIN album_genre ON album_id = bh.id JOIN genre ON genre.id = genre_id",
+    "album_tracks": "SELECT album_id, track_id, track.name, duration_seconds, CAST(NULL AS INTEGER) AS track_number, row_number() OVER (PARTITION BY album_id ORDER BY track_id) AS place FROM bh JOIN track_album ON album_id = bh.id JOIN track ON track.id = track_id",
     "genre_artists": "SELECT * FROM ga",
     "artist_cards": """SELECT id, name, description, artist_type, birth_date, death_date,
   coalesce((SELECT string_agg(genre.name, ', ' ORDER BY genre.name, genre.id) FROM artist_genre JOIN genre ON genre.id = genre_id WHERE artist_id = ah.id), '') AS genres,
@@ -342,22 +408,38 @@ _SELECT = {
     "track_album_enriched": "SELECT * FROM track_album",
     "resolution_counts": """SELECT 'album_named' AS metric, count(*) AS n FROM album WHERE name <> id UNION ALL SELECT 'track_named', count(*) FROM track UNION ALL SELECT 'artist_named', count(name) FROM artist
   UNION ALL SELECT 'album_release_date', count(release_date) FROM album UNION ALL SELECT 'album_record_label', count(record_label) FROM album UNION ALL SELECT 'track_duration_seconds', count(duration_seconds) FROM track""",
-    "modified_since": f"""SELECT id AS qid FROM tc WHERE seg <> 'HOUSEHOLD' AND m >= TIMESTAMP '{SINCE}' UNION SELECT id FROM o0 WHERE k % 50 = 0 AND o_orderdate >= TIMESTAMP '{SINCE}'
-  UNION SELECT id FROM t0 WHERE k % 50 = 0 AND l_shipdate >= TIMESTAMP '{SINCE}'""",
+    "modified_since": f"""SELECT id AS qid FROM tc WHERE seg <> 'HOUSEHOLD' AND m >= TIMESTAMP '{SINCE}' UNION SELECT id FROM o0 WHERE o_orderdate >= TIMESTAMP '{SINCE}'
+  UNION SELECT id FROM t0 WHERE l_shipdate >= TIMESTAMP '{SINCE}'""",
     "keyset_page": "SELECT id FROM artist WHERE id > 'QC5' ORDER BY id LIMIT 50",
     "decode_bindings": "SELECT id AS qid FROM c0",
-    "decode_envelope": "SELECT 'QS' || s_suppkey AS qid, 'QS' || s_suppkey AS id, s_name AS label FROM supplier",
+    "decode_envelope": """SELECT 'QS' || s_suppkey AS qid, 'QS' || s_suppkey AS id, CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS label,
+  CASE WHEN s_suppkey % 7 = 0 THEN 'the entity is missing' END AS problem FROM supplier""",
+    "branch_audit": f"""SELECT branch, count(*) AS n FROM (
+  SELECT id, unnest(CASE seg WHEN 'MACHINERY' THEN ['P106 Q639669', 'P136'] WHEN 'BUILDING' THEN ['P106 Q177220', 'P136'] WHEN 'AUTOMOBILE' THEN ['P136'] WHEN 'FURNITURE' THEN ['P1303'] ELSE [] END) AS branch
+    FROM tc WHERE m >= TIMESTAMP '{SINCE}'
+  UNION ALL SELECT id, unnest(['P31 Q482994', 'P175', 'P136']) FROM o0 WHERE o_orderdate >= TIMESTAMP '{SINCE}'
+  UNION ALL SELECT id, unnest(['P31 Q7366', 'P175']) FROM (SELECT DISTINCT id FROM t0 WHERE l_shipdate >= TIMESTAMP '{SINCE}')) GROUP BY 1""",
+    "keyset_pages": f"""SELECT CAST(p AS INTEGER) AS page, min(id) AS first, max(id) AS last, CAST(count(*) AS INTEGER) AS n
+  FROM (SELECT id, (row_number() OVER (ORDER BY id) - 1) // {PAGE} AS p FROM artist) GROUP BY p""",
+    "reject_file": """SELECT '{"id":"QX' || n_nationkey || '","claims": broken},' AS raw, 'not an entity object' AS reason FROM nation WHERE n_nationkey % 5 = 0""",
+    "genre_file": "SELECT * FROM genre",
+    "labels_file": "SELECT * FROM qid_label",
+    "enrichment_file": """SELECT id AS entity_qid, 'album' AS entity_type, release_date, lab AS record_label_qid, CAST(NULL AS BIGINT) AS duration_seconds, g AS genre_qid, CAST(NULL AS VARCHAR) AS parent_album_qid FROM o0
+  UNION ALL SELECT id, 'track', NULL, NULL, dur, NULL, alb FROM t0""",
+    "fts_artist": _bm25("artist", "name", "description"),
+    "fts_album": _bm25("album", "name"),
+    "fts_track": _bm25("track", "name"),
     "upsert_agent": "SELECT * FROM uartist",
-    "upsert_album": "SELECT o0.id, CASE WHEN o0.k % 50 = 0 AND o0.k % 11 <> 0 THEN album.name || ' rev' ELSE album.name END AS name, album.release_date, record_label FROM album JOIN o0 ON o0.id = album.id",
-    "upsert_track": "SELECT track.id, track.name || coalesce(r, '') AS name, duration_seconds FROM track LEFT JOIN (SELECT DISTINCT id, ' rev' AS r FROM t0 WHERE k % 50 = 0) x ON x.id = track.id",
+    "upsert_album": "SELECT o0.id, CASE WHEN o0.k % 11 <> 0 THEN album.name || ' rev' ELSE album.name END AS name, album.release_date, record_label FROM album JOIN o0 ON o0.id = album.id",
+    "upsert_track": "SELECT id, name || ' rev' AS name, duration_seconds FROM track",
     "upsert": " UNION ALL ".join(f"SELECT '{x}' AS table_name, count(*) AS n FROM {x}" for x in ("artist", "artist_member_of", "album", "album_artist", "album_genre", "track", "track_artist", "track_album", "instrument", "record_label"))
-    + """ UNION ALL SELECT 'genre', count(*) FROM (SELECT id FROM genre UNION SELECT genre_id FROM ug) UNION ALL SELECT 'artist_genre', count(*) FROM (SELECT * FROM artist_genre UNION SELECT * FROM ug)
+    + """ UNION ALL SELECT 'sync_state', 1 UNION ALL SELECT 'genre', count(*) FROM (SELECT id FROM genre UNION SELECT genre_id FROM ug) UNION ALL SELECT 'artist_genre', count(*) FROM (SELECT * FROM artist_genre UNION SELECT * FROM ug)
   UNION ALL SELECT 'artist_instrument', count(*) FROM (SELECT * FROM artist_instrument UNION SELECT id, 'Q172' FROM uc WHERE seg = 'FURNITURE')
   UNION ALL SELECT 'qid_label', count(*) FROM (SELECT qid FROM qid_label UNION SELECT id FROM uc WHERE k % 10 <> 0)""",
-    "update_summary": """SELECT outcome, count(*) AS n FROM (SELECT outcome FROM tc UNION ALL SELECT 'upserted' FROM o0 WHERE k % 50 = 0 UNION ALL SELECT 'upserted' FROM (SELECT DISTINCT id FROM t0 WHERE k % 50 = 0)) GROUP BY 1""",
-    "update_dry_run": """SELECT id AS qid, CASE WHEN seg <> 'HOUSEHOLD' THEN 'Agent' END AS role, outcome FROM tc UNION ALL SELECT id, 'Album', 'upserted' FROM o0 WHERE k % 50 = 0
-  UNION ALL SELECT DISTINCT id, 'Track', 'upserted' FROM t0 WHERE k % 50 = 0""",
-    "sync_state": """SELECT 'last_sync' AS key, strftime(max(m), '%Y-%m-%dT%H:%M:%SZ') AS value FROM (SELECT m FROM tc UNION ALL SELECT o_orderdate FROM o0 WHERE k % 50 = 0 UNION ALL SELECT l_shipdate FROM t0 WHERE k % 50 = 0)""",
+    "update_summary": """SELECT outcome, count(*) AS n FROM (SELECT outcome FROM tc UNION ALL SELECT 'upserted' FROM o0 UNION ALL SELECT 'upserted' FROM (SELECT DISTINCT id FROM t0)) GROUP BY 1""",
+    "update_dry_run": """SELECT id AS qid, CASE WHEN seg <> 'HOUSEHOLD' THEN 'Agent' END AS role, outcome FROM tc UNION ALL SELECT id, 'Album', 'upserted' FROM o0
+  UNION ALL SELECT DISTINCT id, 'Track', 'upserted' FROM t0""",
+    "sync_state": """SELECT 'last_sync' AS key, strftime(max(m), '%Y-%m-%dT%H:%M:%SZ') AS value FROM (SELECT m FROM tc UNION ALL SELECT o_orderdate FROM o0 UNION ALL SELECT l_shipdate FROM t0)""",
     "update_stream": "SELECT * FROM uartist",
     "stage_roundtrip": """SELECT a0.id, 'Agent' AS role, CASE WHEN seg IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') THEN g ELSE '' END AS genres, '' AS performers, '' AS parents FROM a0 LEFT JOIN c0 ON c0.id = a0.id
   UNION ALL SELECT id, 'Album', g, perf || ':performer', '' FROM o0 UNION ALL SELECT id, 'Track', '', perf || ':performer', alb FROM t0""",

@@ -1,7 +1,7 @@
 """Renders relational star tables as entity dump lines, so that the real flow runs over real text.
 
 Nations are genres, customers and suppliers agents, parts record labels, orders albums, line items tracks; events are changes of
-customers. Which row carries which oddity is a function of its key (see ``_agent_claims`` and the comments below).
+customers, and every order and line item is changed once. Which row carries which oddity is a function of its key (see ``_agent_claims`` and the comments below).
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entitymart.sources.storage import spread
+
 
 def snak(value: Column) -> Column:
     return F.concat(F.lit('{"mainsnak":{"snaktype":"value","datavalue":{"value":'), value, F.lit("}}}"))
@@ -54,12 +56,6 @@ def _tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spread(spark.read.parquet(f"{sf_dir}/{n}.parquet")) if n in ("orders", "lineitem") else spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a table that comes in fewer parts than there are cores to all of them: rendering and parsing cost more than the short rows' shuffle."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _agent_claims(more_genres: list[Column], more_instruments: list[Column]) -> Column:
     k, seg = F.col("c_custkey"), F.col("c_mktsegment")
     within = lambda *s: seg.isin(*s)
@@ -82,9 +78,25 @@ def _agent_claims(more_genres: list[Column], more_instruments: list[Column]) ->
     )
 
 
+def _counted(df: DataFrame, of: DataFrame, name: str) -> DataFrame:
+    """``df`` with the number of rows of another table."""
+    return df.crossJoin(F.broadcast(of.agg(F.count("*").alias(name))))  # one row
+
+
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, supplier = _tables(spark, sf_dir, "customer", "supplier")
-    return customer.crossJoin(F.broadcast(supplier.agg(F.count("*").alias("n_suppliers"))))  # one row
+    return _counted(customer, supplier, "n_suppliers")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, part = _tables(spark, sf_dir, "orders", "part")
+    return _counted(orders, part, "n_parts")
+
+
+def _order_name() -> Column:
+    """Every 11th order has no name, every 13th of the others one that looks like an id."""
+    k = F.col("o_orderkey")
+    return F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 13 == 0, qid("Q", k)).otherwise(F.concat(F.lit("Order "), k.cast("string")))
 
 
 def _album(label: Column) -> Column:
@@ -94,7 +106,7 @@ def _album(label: Column) -> Column:
     return line(
         qid("QO", k), label,
         claims(P31=[target(F.lit("Q482994"))], P175=[target(qid("QC", F.col("o_custkey")))], P577=[time(when, 11 - k % 4)],
-               P264=[target(qid("QL", k % 50))], P136=[target(qid("QN", k % 25))]),
+               P264=[target(qid("QL", k % F.col("n_parts")))], P136=[target(qid("QN", k % 25))]),
     )
 
 
@@ -114,21 +126,21 @@ def _item_name() -> Column:
 
 def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines of the dump, record labels before the albums that name them."""
-    nation, supplier, part, orders, lineitem = _tables(spark, sf_dir, "nation", "supplier", "part", "orders", "lineitem")
-    n, k, s, p, o = (F.col(c) for c in ("n_nationkey", "c_custkey", "s_suppkey", "p_partkey", "o_orderkey"))
+    nation, supplier, part, lineitem = _tables(spark, sf_dir, "nation", "supplier", "part", "lineitem")
+    n, k, s, p = (F.col(c) for c in ("n_nationkey", "c_custkey", "s_suppkey", "p_partkey"))
     unless = lambda cond, x: F.when(~cond, x)
     none = F.lit("{}")
     parts = [
         spark.createDataFrame([("[",), ("",)], "value string"),
         nation.select(line(qid("QN", n), unless(n % 7 == 0, F.col("n_name")), none)),
         nation.where(n % 5 == 0).select(F.concat(F.lit('{"id":"QX'), n.cast("string"), F.lit('","claims": broken},'))),
-        part.where(p < 50).select(line(qid("QL", p), unless(p % 9 == 0, F.col("p_name")), none)),
+        part.select(line(qid("QL", p), unless(p % 9 == 0, F.col("p_name")), none)),
         supplier.limit(1).select(line(F.lit("Q171"), F.lit("Instrument 171"), none)),
         supplier.select(line(qid("QS", s), F.col("s_name"), claims(P31=[target(F.lit("Q215380"))]))),
         _customers(spark, sf_dir).select(
             line(qid("QC", k), unless(k % 10 == 0, F.col("c_name")), _agent_claims([], []), F.col("c_mktsegment"), F.when(k % 20 == 0, F.replace("c_name", F.lit("#"), F.lit("_"))))
         ),
-        orders.select(_album(unless(o % 11 == 0, F.concat(F.lit("Order "), o.cast("string"))))),
+        _orders(spark, sf_dir).select(_album(_order_name())),
         lineitem.select(_track(_item_name())),
         spark.createDataFrame([("]",)], "value string"),
     ]
@@ -136,17 +148,16 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(qid, modified, value): customers as events touch them, and every 50th order with its items. Names end in v2 or rev; customers have
+    """(qid, modified, value): customers as events touch them, and all orders and items. Names end in v2 or rev; customers have
     a further genre or instrument."""
-    events, orders, lineitem = _tables(spark, sf_dir, "events", "orders", "lineitem")
+    events, lineitem = _tables(spark, sf_dir, "events", "lineitem")
     customers = _customers(spark, sf_dir)
-    count = customers.agg(F.count("*").alias("n_customers"))
-    touched = events.crossJoin(F.broadcast(count)).select((F.col("user_id") % F.col("n_customers")).alias("c_custkey"), F.col("ts").alias("modified"))
-    k, o = F.col("c_custkey"), F.col("o_orderkey")
+    touched = _counted(events, customers, "n_customers").select((F.col("user_id") % F.col("n_customers")).alias("c_custkey"), F.col("ts").alias("modified"))
+    k = F.col("c_custkey")
     agent = line(qid("QC", k), F.when(k % 10 != 0, F.concat("c_name", F.lit(" v2"))), _agent_claims([qid("QZ", k % 3)], [F.lit("Q172")]), F.col("c_mktsegment"))
+    track = F.concat(qid("QT", F.col("l_orderkey")), F.lit("x"), F.col("l_linenumber").cast("string"))
     return (
         touched.join(customers, "c_custkey").select(qid("QC", k).alias("qid"), "modified", agent.alias("value"))
-        .union(orders.where(o % 50 == 0).select(qid("QO", o), "o_orderdate", _album(F.when(o % 11 != 0, F.concat(F.lit("Order "), o.cast("string"), F.lit(" rev"))))))
-        .union(lineitem.where(F.col("l_orderkey") % 50 == 0).select(
-            F.concat(qid("QT", F.col("l_orderkey")), F.lit("x"), F.col("l_linenumber").cast("string")), "l_shipdate", _track(F.concat(_item_name(), F.lit(" rev")))))
+        .union(_orders(spark, sf_dir).select(qid("QO", F.col("o_orderkey")), "o_orderdate", _album(F.concat(_order_name(), F.lit(" rev")))))
+        .union(lineitem.select(track, "l_shipdate", _track(F.concat(_item_name(), F.lit(" rev")))))
     )

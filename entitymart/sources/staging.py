@@ -4,11 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from entitymart.schemas import REFS
 
 ROWS_PER_FILE = 100_000
 
+#: Files that flows exchange: rejected lines, genre names, labels, and enrichment of albums and tracks.
+LAYOUTS = {
+    "rejects": "file string, raw string, reason string",
+    "genres": "id string, name string",
+    "labels": "qid string, label string, description string",
+    "enrichment": "entity_qid string, entity_type string, release_date date, record_label_qid string, duration_seconds long, genre_qid string, parent_album_qid string",
+}
+
+
+def write_layout(df: DataFrame, layout: str, path: str) -> None:
+    """Writes the columns of a layout in its order and types; a column that is missing or of a type that does not fit is an error."""
+    columns = StructType.fromDDL(LAYOUTS[layout])
+    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns]).write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
+
+
+def read_layout(spark: SparkSession, layout: str, path: str) -> DataFrame:
+    return spark.read.schema(LAYOUTS[layout]).parquet(path)
+
 
 def write_staged(staged: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     staged.write.option("maxRecordsPerFile", rows_per_file).parquet(path)

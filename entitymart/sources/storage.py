@@ -4,43 +4,70 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new folder under the session's checkpoint folder; a temporary one only in local mode without that setting."""
+    """A new folder, as a full address, under the session's checkpoint folder; a temporary one only where Spark runs in one process
+    and that setting is missing."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(base)
+    full = folder.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    if full.startswith("file:/") and not full.startswith("file://"):
+        full = f"file://{full[5:]}"
+    return f"{full.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:
+    """Writes ``df`` once as Parquet in the shared folder and reads it back: cuts the lineage, survives lost executors."""
     path = shared_folder(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def publish(tables: dict[str, DataFrame], root: str, version: int, note: dict[str, str] | None = None) -> str:
-    """Writes all tables of a version side by side, then the manifest; readers follow manifests only, so a version appears whole or not
-    at all. ``note`` (such as the sync cursor) travels in the manifest."""
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a table that comes in fewer parts than there are cores to all of them: work on its rows costs more than moving such a table."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@dataclass
+class Snapshot:
+    version: int
+    tables: dict[str, DataFrame]
+    note: dict[str, str] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
+
+
+def publish(tables: dict[str, DataFrame], root: str, version: int, note: dict[str, str] | None = None, before: Snapshot | None = None) -> dict[str, str]:
+    """Writes the tables of a version side by side, then the manifest; readers follow manifests only, so a version appears whole or not
+    at all. A table that is still the frame of ``before`` is not written again: the manifest names its old place. ``note`` (such as the sync
+    cursor) travels in the manifest. Returns where the tables are."""
     spark = next(iter(tables.values())).sparkSession
-    folder = f"{root}/v={version}"
+    paths = {}
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-    rows = [(version, name, f"{folder}/{name}", k, v) for name in tables for k, v in (note or {"": ""}).items()]
+        if before and df is before.tables.get(name):
+            paths[name] = before.paths[name]
+        else:
+            paths[name] = f"{root}/v={version}/{name}"
+            df.write.mode("overwrite").parquet(paths[name])
+    rows = [(version, name, path, k, v) for name, path in paths.items() for k, v in (note or {"": ""}).items()]
     spark.createDataFrame(rows, "version int, name string, path string, key string, value string").coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-    return folder
+    return paths
 
 
-def latest(spark: SparkSession, root: str) -> tuple[int, dict[str, DataFrame], dict[str, str]]:
-    """The newest published version: number, tables, note."""
+def latest(spark: SparkSession, root: str) -> Snapshot:
+    """The newest published version."""
     rows = spark.read.parquet(f"{root}/manifest").collect()  # a few rows a version
     version = max(r["version"] for r in rows)
-    rows = [r for r in rows if r["version"] == version]
-    return version, {r["name"]: spark.read.parquet(r["path"]) for r in rows}, {r["key"]: r["value"] for r in rows if r["key"]}
+    paths = {r["name"]: r["path"] for r in rows if r["version"] == version}
+    note = {r["key"]: r["value"] for r in rows if r["version"] == version and r["key"]}
+    return Snapshot(version, {name: spark.read.parquet(path) for name, path in paths.items()}, note, paths)

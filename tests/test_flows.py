@@ -131,8 +131,8 @@ def test_update(spark, second):
     root = shared_folder(spark, "snap")
     publish(second.tables, root, 1)
     publish(new, root, 2, {"last_sync": "x"})
-    version, tables, note = latest(spark, root)
-    assert (version, note) == (2, {"last_sync": "x"}) and tables["artist"].count() == 5
+    newest = latest(spark, root)
+    assert (newest.version, newest.note) == (2, {"last_sync": "x"}) and newest.tables["artist"].count() == 5
 
 
 @pytest.mark.parametrize(
@@ -201,4 +201,4 @@ def test_decoding_of_responses(spark):
     pages = spark.createDataFrame([(json.dumps({"results": {"bindings": [{"item": {"type": "uri", "value": u}} for u in (update.ENTITY_PREFIX + "Q1", "http://other/Q2")]}}),), ('{"results":{"bindings":[]}}',), ("junk",)], "value string")
     assert rows(update.decode_bindings(pages)) == [("Q1",)]
     found = update.decode_envelope(spark.createDataFrame([('{"entities":{"Q1":{"id":"Q1"}}}',), ("{}",)], "value string")).collect()
-    assert {(r["qid"], r["value"]) for r in found} == {("Q1", '{"id":"Q1"}'), (None, None)}
+    assert {(r["qid"], r["value"], r["problem"]) for r in found} == {("Q1", '{"id":"Q1"}', None), (None, None, "no entity in the response")}
