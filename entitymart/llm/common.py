@@ -1,10 +1,9 @@
-"""What the corpus operators share: table access, durable intermediate tables, hashing of ids, batches."""
+"""What the corpus operators share: table access, hashing of ids, shipping the package, work by Arrow batches."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -15,37 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-#: Rows handed to Python at once; with texts of megabytes a batch stays far below Arrow's 2 GB.
-BATCH_ROWS = 512
+from entitymart.sources.storage import shared_folder, spread, stored
 
+__all__ = ["arrow_schema", "batch_of", "fold", "maybe_one_of", "packed", "per_batch", "shared_folder", "ship", "slices", "stored", "table", "unpacked"]
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+#: Rows worked on at once. Spark bounds the bytes of what it hands to Python; this bounds what Python makes of it.
+BATCH_ROWS = 512
+#: Bits of a field that tells which rows need a join at all: 8 MB at most.
+MAX_BITS = 1 << 26
 
 
-def workspace(spark: SparkSession, what: str) -> str:
-    """A new folder under the shared checkpoint folder; a temporary one only where Spark runs in one process."""
-    context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local[") and context.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        context.setCheckpointDir(base)
-    jvm = context._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(base)
-    full = folder.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(folder).toString()
-    if full.startswith("file:/") and not full.startswith("file://"):
-        full = f"file://{full[5:]}"
-    return f"{full.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Writes ``df`` once as Parquet in the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = workspace(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def fold(doc_id: Column) -> Column:
@@ -53,6 +33,34 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def packed(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """The columns of ``df`` but those called as in ``without``, in one struct, so that names of an operator's own columns meet none of the caller's."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in without])
+
+
+def unpacked(df: DataFrame, struct: str) -> list[Column]:
+    """The fields of a struct as columns again."""
+    return [F.col(struct).getField(c).alias(c) for c in df.schema[struct].dataType.names]
+
+
+def maybe_one_of(ids: DataFrame, ident: Column) -> Column:
+    """False only where ``ident`` is null or none of ``ids`` (one column, stored, without repeats).
+
+    A field of bits in which the hash of each id sets one, eight bits an id and ``MAX_BITS`` at most; with more ids it says true more often
+    than it should, never false. It reaches the plan as a scalar subquery, so rows are told apart in the scan."""
+    n, bits = ids.count(), 64
+    while bits < min(8 * n, MAX_BITS):
+        bits *= 2
+    bit = lambda x: F.pmod(F.xxhash64(F.lit("bit"), x), F.lit(bits))
+    word, place = lambda x: F.shiftright(bit(x), 6), lambda x: (bit(x) % 64).cast("int")
+    x = F.col(ids.columns[0])
+    words = ids.groupBy(word(x).alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place(x))).alias("w"))
+    every = ids.sparkSession.range(bits // 64).select(F.col("id").alias("i")).join(words, "i", "left")
+    cells = every.agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))).alias("cells"))
+    field = cells.select(F.transform("cells", lambda c: c["w"])).scalar()
+    return F.coalesce(F.getbit(F.get(field, word(ident).cast("int")), place(ident)) == 1, F.lit(False))
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the workers unless they find it on the path that they inherit."""
     root = Path(__file__).resolve().parents[2]
@@ -67,9 +75,11 @@ def ship(spark: SparkSession) -> None:
     context._entitymart_sent = True
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches cut to at most ``rows`` rows, without empty ones."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -87,14 +97,13 @@ def batch_of(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Applies ``make`` to every Arrow batch; it returns the columns of ``schema`` by name."""
-    small_batches(df.sparkSession)
-    target = arrow_schema(schema)
+def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str | StructType) -> DataFrame:
+    """Applies ``make`` to slices of Arrow batches; it returns the columns of ``schema`` by name."""
+    ship(df.sparkSession)
+    target = to_arrow_schema(schema) if isinstance(schema, StructType) else arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch_of(make(batch), target)
+        for batch in slices(batches):
+            yield batch_of(make(batch), target)
 
     return df.mapInArrow(run, schema)

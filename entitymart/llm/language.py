@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import fold, per_batch, small_batches
+from entitymart.llm.common import fold, per_batch, ship, slices
 
 #: Hashed n-grams, rows of each language in the fit, longest code, and the probability under which a win is ambiguous.
 BUCKETS, PER_LANGUAGE, MAX_BITS, SURE = 1 << 14, 3000, 63, 0.6
@@ -95,13 +95,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     most = {k: int(min(1.0, per_language / n) * (1 << 32)) for k, n in seen.items()}
     limit = F.create_map(*[x for k, n in most.items() for x in (F.lit(k), F.lit(n))])
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < limit[F.col("lang")])
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
 
     def count(batches):
         import pyarrow as pa
 
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if has_letter(text):
                     got = np.bincount(grams(text), minlength=BUCKETS)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, batch_of, per_batch, small_batches, workspace
+from entitymart.llm.common import arrow_schema, batch_of, per_batch, shared_folder, ship, slices
 from entitymart.llm.tokens import default_path, encoder
 
 END = 1
@@ -33,9 +33,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end: i
 
     def run(batches):
         before = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             got = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in encoder(tokenizer).encode(batch.column(1).to_pylist())]
             n = np.array([len(x) + 1 for x in got], dtype=np.int64)
             values = np.concatenate([y for x in got for y in (x, [np.int32(end)])]).astype(np.int32)
@@ -44,7 +42,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end: i
             yield batch_of({"part": batch.column(2), "doc_id": batch.column(0), "before": before + stops[:-1], "n_tokens": n, "ids": ids}, target)
             before += int(stops[-1])
 
-    small_batches(docs.sparkSession)
+    ship(docs.sparkSession)
     ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(run, SCHEMA).write.options(**OPTIONS).orc(folder)
 
 
@@ -56,6 +54,12 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(F.broadcast(offsets), "part").select("doc_id", (F.col("offset") + F.col("before")).alias("start"), "n_tokens", "ids")
 
 
+def read_some(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
+    """The documents of a few ids (doc_id, n_tokens, ids). The ids are pushed to the scan: stripes, and groups of rows within a stripe, whose
+    statistics or Bloom filter rule them all out are not decoded."""
+    return spark.read.schema(SCHEMA).orc(folder).where(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "n_tokens", "ids")
+
+
 def digest(rows: DataFrame) -> DataFrame:
     """Per document the crc32 of its ids as little-endian 32-bit integers."""
 
@@ -71,6 +75,6 @@ def digest(rows: DataFrame) -> DataFrame:
 def round_trip(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Writes the ids of all texts (a null text has the end id only) and reads them back. Rows with the same id keep their own entries,
     ordered by text; an empty table gives an empty result."""
-    folder = workspace(docs.sparkSession, "orc-ids")
+    folder = shared_folder(docs.sparkSession, "orc-ids")
     write_ids(docs, folder, tokenizer)
     return digest(read_ids(docs.sparkSession, folder))
