@@ -12,6 +12,7 @@ import functools
 import json
 import os
 import re
+import unicodedata
 from itertools import repeat
 
 import numpy as np
@@ -21,9 +22,12 @@ CACHE = 800_000
 #: New chunks in one call of the library.
 CALL = 4_000
 
+#: Small Latin letters beyond ASCII; capitals whose small form is elsewhere (as that of U+0181) do not count.
+_SMALL = "".join(c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and c.lower() == c and unicodedata.normalize("NFC", c) == c)
+_LARGE = "".join(c for c in map(chr, range(0xC0, 0x250)) if c.isalpha() and c.lower() != c and c.lower() in _SMALL)
 #: Letters, digits, punctuation and plain white space for which lower-casing and normalisation are local.
-PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ɏ]*").fullmatch
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ɏ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ɏ]+")
+PLAIN = re.compile(rf"[\t\n\r -~{_SMALL}{_LARGE}]*").fullmatch
+PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_SMALL}]+|[0-9]|[^\sa-z0-9{_SMALL}]+")
 
 
 def default_path() -> str:
