@@ -5,24 +5,30 @@ neither letter nor digit separates words. A test item gives all windows of ``WIN
 it is shorter). The automaton's alphabet is the test words' numbers, so a window costs ten nodes instead of one per
 character and a match's position is a word's index, which maps back to character offsets of the original text.
 
-Documents are scanned once where they lie: no shuffle. The automaton is built in each task from broadcast items whose
-size is checked: up to ``BLOCK_BYTES`` of test text an automaton; a larger benchmark is dealt to several blocks, scanned one
-after the other, each adding its hits.
+Documents are read once, where they lie: no shuffle. Up to ``BLOCK_BYTES`` of test text are broadcast and make one automaton, which a worker
+keeps from task to task. A larger benchmark is dealt to blocks of about that size, written to the shared folder; a task then holds up to
+``CHUNK_BYTES`` of texts and takes them through one block's automaton after the other.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import OrderedDict
 
+from pyarrow.dataset import dataset
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from entitymart.llm.common import per_batch, stored
+from entitymart.llm.common import batch_of, packed, per_batch, shared_folder, ship, slices, unpacked
 
 WINDOW = 10
-#: Bytes of test text in one automaton (some 100 MB of nodes in a worker).
-BLOCK_BYTES = 1_000_000
+#: Bytes of test text in one automaton (some 100 MB of nodes in a worker), automata that a worker keeps, and bytes of
+#: texts that a task takes through several.
+BLOCK_BYTES, KEEP, CHUNK_BYTES = 1_000_000, 2, 64 << 20
 
 WORD = re.compile(rb"[0-9a-zA-Z\x80-\xff]+")
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz"
@@ -45,20 +51,17 @@ def merged(ranges) -> list[tuple[int, int]]:
 
 
 class Scan:
-    """Adds the hits of one block of items to the columns (text, items, ranges)."""
+    """One block of items, ready to be found."""
 
     def __init__(self, items, window: int):
-        self.items, self.window, self.automaton = items, window, None
-
-    def build(self) -> None:
         import ahocorasick
 
         self.number: dict[bytes, int] = {}
         whose: dict[tuple[int, ...], set[int]] = {}
-        for item, text in self.items.value:
+        for item, text in items:
             seq = [self.number.setdefault(w, len(self.number) + 1) for w in words(text)]
-            for i in range(max(1, len(seq) - self.window + 1)) if seq else ():
-                whose.setdefault(tuple(seq[i : i + self.window]), set()).add(item)
+            for i in range(max(1, len(seq) - window + 1)) if seq else ():
+                whose.setdefault(tuple(seq[i : i + window]), set()).add(item)
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for seq, ids in whose.items():
             self.automaton.add_word(seq, (len(seq), ids))
@@ -67,19 +70,56 @@ class Scan:
         self.any = bool(whose)
 
     def __call__(self, text: str | None) -> tuple[set[int], list[tuple[int, int]]]:
-        if self.automaton is None:
-            self.build()
         get = self.number.get
-        seq = tuple([get(w, 0) for w in words(text)])
+        seq = tuple([get(w, 0) for w in words(text)]) if self.any else ()
         ids: set[int] = set()
         ranges = []
-        if self.any and seq and any(seq):
+        if any(seq):
             for last, (size, whose) in self.automaton.iter(seq):
                 ids |= whose
                 ranges.append((last + 1 - size, last + 1))
         return ids, merged(ranges)
 
 
+class Blocks:
+    """The benchmark's blocks: broadcast items, or a folder with a part of Parquet files for each block."""
+
+    _kept: OrderedDict = OrderedDict()
+
+    def __init__(self, name: str, n: int, window: int, broadcast=None):
+        self.name, self.n, self.window, self.broadcast = name, n, window, broadcast
+
+    def items(self, block: int):
+        if self.broadcast is not None:
+            return self.broadcast.value
+        fs, path = FileSystem.from_uri(f"{self.name}/block={block}")
+        if fs.get_file_info(path).type == FileType.NotFound:  # no item fell to it
+            return []
+        rows = dataset(path, filesystem=fs, format="parquet").to_table(columns=["item_id", "text"])
+        return zip(rows.column("item_id").to_pylist(), rows.column("text").to_pylist())
+
+    def scan(self, block: int) -> Scan:
+        """A block's automaton; a worker keeps the latest ``KEEP``."""
+        key = (self.name, block, self.window)
+        if key not in Blocks._kept:
+            while len(Blocks._kept) >= KEEP:
+                Blocks._kept.popitem(last=False)
+            Blocks._kept[key] = Scan(self.items(block), self.window)
+        Blocks._kept.move_to_end(key)
+        return Blocks._kept[key]
+
+    def find(self, texts: list[str | None]) -> list[tuple[set[int], list[tuple[int, int]]]]:
+        """The items and the merged ranges of words found in each text."""
+        out = [(set(), []) for _ in texts]
+        for block in range(self.n):
+            scan = self.scan(block)
+            for (ids, ranges), text in zip(out, texts):
+                more, hit = scan(text)
+                ids |= more
+                ranges += hit
+        return [(ids, merged(ranges)) for ids, ranges in out]
+
+
 def spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     """Word ranges as character offsets of the original text."""
     if not ranges:
@@ -89,44 +129,60 @@ def spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     return [{"first": len(data[: at[a][0]].decode()), "end": len(data[: at[b - 1][1]].decode())} for a, b in ranges]
 
 
+def blocks_of(items: DataFrame, window: int, block_bytes: int) -> Blocks:
+    spark = items.sparkSession
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    name, n = shared_folder(spark, "decontaminate-items"), max(1, -(-size // block_bytes))
+    if n == 1:
+        return Blocks(name, n, window, spark.sparkContext.broadcast([tuple(r) for r in items.collect()]))
+    items.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n))).repartition("block").write.partitionBy("block").parquet(name)
+    return Blocks(name, n, window)
+
+
+def chunks(batches, size: int):
+    """Lists of batches of up to ``size`` bytes, or of one batch."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+SPANS = "array<struct<first:int,end:int>>"
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` columns plus items array<long>, spans array<struct<first,end>> (characters), n_words, n_hit.
 
     A null text has no words; an item without words, with null text or null id is never found; repeated rows are judged alike;
-    an empty benchmark hits nothing. Columns of ``docs`` called like a result are replaced.
+    an empty benchmark hits nothing. Columns of ``docs`` called like a result are replaced, all others pass through under any name.
     """
-    spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
-    out = docs.drop("items", "spans", "n_words", "n_hit").withColumns(
-        {"items": F.array().cast("array<long>"), "ranges": F.array().cast("array<struct<first:int,end:int>>")}
-    )
-    for block in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
-        out = one_block(out, Scan(spark.sparkContext.broadcast([tuple(r) for r in some]), window))
-        if block + 1 < blocks:
-            out = stored(out, "decontaminate")
-    return out.drop("ranges")
-
-
-def one_block(df: DataFrame, find: Scan) -> DataFrame:
-    kept = [c for c in df.columns if c not in ("items", "ranges", "spans", "n_words", "n_hit")]
-    fields = df.select(kept).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-
-    def make(batch):
-        out = {c: batch.column(batch.schema.get_field_index(c)) for c in kept}
-        texts, items, ranges = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "items", "ranges"))
-        rows = []
-        for text, ids, known in zip(texts, items, ranges):
-            more, hit = find(text)
-            hit = merged([*((r["first"], r["end"]) for r in known), *hit])
-            rows.append((sorted({*ids, *more}), [{"first": a, "end": b} for a, b in hit], spans(text or "", hit), len(words(text)), sum(b - a for a, b in hit)))
-        return out | dict(zip(("items", "ranges", "spans", "n_words", "n_hit"), map(list, zip(*rows))))
-
-    span = "array<struct<first:int,end:int>>"
-    return per_batch(df, make, f"{schema}, items array<long>, ranges {span}, spans {span}, n_words long, n_hit long")
+    blocks = blocks_of(items, window, block_bytes)
+    rows = docs.select(packed(docs, ("items", "spans", "n_words", "n_hit")).alias("row"), "text")
+    results = StructType.fromDDL(f"items array<long>, spans {SPANS}, n_words long, n_hit long")
+    schema = StructType([rows.schema["row"], *results.fields])
+    target = to_arrow_schema(schema)
+
+    def run(batches):
+        for some in chunks(slices(batches), CHUNK_BYTES if blocks.n > 1 else 0):
+            texts = [batch.column(1).to_pylist() for batch in some]
+            found = iter(blocks.find([t for ts in texts for t in ts]))
+            for batch, ts in zip(some, texts):
+                out = {"row": batch.column(0), "items": [], "spans": [], "n_words": [], "n_hit": []}
+                for text, (ids, ranges) in zip(ts, found):
+                    out["items"].append(sorted(ids))
+                    out["spans"].append(spans(text or "", ranges))
+                    out["n_words"].append(len(words(text)))
+                    out["n_hit"].append(sum(b - a for a, b in ranges))
+                yield batch_of(out, target)
+
+    ship(docs.sparkSession)
+    return rows.mapInArrow(run, schema).select(*unpacked(rows, "row"), "items", "spans", "n_words", "n_hit")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -143,6 +199,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         }
 
     found = scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark).drop("text")
-    return per_batch(
-        found, digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<first:int,end:int>>"
-    )
+    return per_batch(found, digest, f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans {SPANS}")
