@@ -6,8 +6,10 @@ only cross where, by the triangle inequality, its left end lies within r of the
 right side, and visitors follow every branch that their ball of radius r can reach. Each shard goes on in the same way, down to leaves
 that are compared whole. Every pair is so compared in at least one leaf: the search is exact.
 
-A shard returns what it found as groups of points, not as pairs. Groups that share points are joined by label rounds; a group of many points
-is dealt to salted parts, so that no key gathers more than ``PART`` rows.
+A shard returns what it found as groups of points, not as pairs. Groups that share points are joined by contraction: in each round every point
+goes to the least point (in an order by hash) that shares a group with it, and the groups go on with what is left, which shrinks by a
+share a round, so a chain of any length takes a logarithmic number of rounds. A group of many points is dealt to salted parts, so
+that no key gathers more than ``PART`` rows.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, batch_of, per_batch, small_batches, stored
+from entitymart.llm.common import arrow_schema, batch_of, per_batch, ship, stored
 
 SEED, SHINGLE, BITS = 42, 3, 3
-#: Points in the sample that shapes the tree (and never over 1 in THIN of all), points a shard is meant to hold, points of a leaf, and members of a group's salted part.
-SAMPLE, SHARD, LEAF, PART = 1 << 17, 1 << 14, 256, 256
-THIN = 8
+#: Points in the sample that shapes the tree (and never over 1 in THIN of all), points of a leaf, and members of a group's salted part.
+SAMPLE, THIN, LEAF, PART = 1 << 17, 8, 256, 256
+#: Points a shard is meant to hold: a share of all for each core twice over, within these bounds.
+SMALL_SHARD, SHARD = 1 << 10, 1 << 14
 #: Distances computed at once.
 CELLS = 1 << 21
 
@@ -221,10 +224,11 @@ def member_rows(shard: int, points: np.ndarray, label: np.ndarray) -> dict:
     return {"fp": points[many].view(np.int64), "gid": shard << 32 | label[many], "part": (at // PART)[many], "parts": parts[many]}
 
 
-def vantage_links(points: DataFrame, r: int = BITS, shard: int = SHARD) -> DataFrame:
+def vantage_links(points: DataFrame, r: int = BITS, shard: int | None = None) -> DataFrame:
     """``points``: distinct fp, stored. Returns their groups as rows of ``MEMBERS``; a point may be in groups of several shards."""
     spark = points.sparkSession
     n = points.count()
+    shard = shard or min(SHARD, max(SMALL_SHARD, -(-n // (2 * spark.sparkContext.defaultParallelism))))
     share = F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) < int(min(1 / THIN, SAMPLE / max(1, n)) * (1 << 32))
     sample = np.array([r_[0] for r_ in points.where(share).collect()], dtype=np.int64).view(np.uint64)
     root, shards = tree(sample, n / max(1, len(sample)), shard)
@@ -239,7 +243,7 @@ def vantage_links(points: DataFrame, r: int = BITS, shard: int = SHARD) -> DataF
                     "shard": pa.array(np.full(len(at), s), pa.int32()), "fp": fps[at].view(np.int64), "visits": np.arange(len(at)) >= len(home),
                 })
 
-    small_batches(spark, 1 << 16)
+    ship(spark)
     dealt = points.select("fp").mapInArrow(deal, "shard int, fp long, visits boolean")
     target = arrow_schema(MEMBERS)
 
@@ -253,22 +257,33 @@ def vantage_links(points: DataFrame, r: int = BITS, shard: int = SHARD) -> DataF
     return dealt.repartition(max(1, shards), "shard").groupBy("shard").applyInArrow(work, MEMBERS)
 
 
-def join_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(fp, label): the least label reachable through groups. ``members``: rows of ``MEMBERS``; ``labels``: (fp, label).
-
-    A round gives each group the least label of its members and each member the least of its groups; rounds go on until nothing changes.
-    """
-    now = stored(members.join(labels, "fp"), "simhash-members")
+def contracted(members: DataFrame) -> DataFrame:
+    """(node, root): the one node that stands for all that groups join to ``node``. ``members``: rows of ``MEMBERS``; a point's node is its
+    XXH64, which is another one for every other 64-bit number."""
+    now, steps = members.select(F.xxhash64("fp").alias("node"), "gid", "part", "parts"), []
     while True:
-        groups = now.groupBy("gid").agg(F.min("label").alias("low"), F.max("parts").alias("parts"))
+        now = stored(now, "simhash-members")
+        groups = now.groupBy("gid").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("parts").alias("parts")).where("low < high")
         parts = groups.select("gid", "low", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         told = now.join(stored(parts, "simhash-groups"), ["gid", "part"])
-        best = told.groupBy("fp").agg(F.min("low").alias("low"))
-        new = now.join(best, "fp").select("fp", "gid", "part", "parts", "low", (F.col("low") < F.col("label")).alias("moved")).withColumnRenamed("low", "label")
-        new = stored(new, "simhash-members")
-        if not new.agg(F.max("moved")).first()[0]:
-            return new.groupBy("fp").agg(F.min("label").alias("label"))
-        now = new.drop("moved")
+        step = stored(told.groupBy("node").agg(F.min("low").alias("to")), "simhash-step")
+        if step.isEmpty():
+            break
+        steps.append(step)
+        moved = told.select("node", "gid", "part", "parts").join(step, "node")
+        now = moved.groupBy(F.col("to").alias("node"), "gid").agg(F.min("part").alias("part"), F.max("parts").alias("parts"))
+    found = steps.pop() if steps else step
+    while steps:  # from the last round, the smallest, back to the first
+        last = found.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        found = stored(steps.pop().join(last, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "simhash-roots")
+    return found.select("node", F.col("to").alias("root"))
+
+
+def join_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fp, label) of all points in groups: the least label reachable. ``members``: rows of ``MEMBERS``; ``labels``: (fp, label)."""
+    joined = stored(contracted(members).join(labels.withColumn("node", F.xxhash64("fp")), "node").select("fp", "root", "label"), "simhash-joined")
+    least = joined.groupBy("root").agg(F.min("label").alias("label"))
+    return joined.select("fp", "root").join(least, "root").select("fp", "label")
 
 
 def with_components(prints: DataFrame, members: DataFrame | None = None, r: int = BITS) -> DataFrame:
