@@ -23,7 +23,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, batch_of, per_batch, small_batches, stored, workspace
+from entitymart.llm.common import arrow_schema, batch_of, per_batch, shared_folder, ship, slices, stored
 
 RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
 #: Bytes after which a task begins another file.
@@ -91,7 +91,7 @@ def gzip_member(data: bytes) -> bytes:
 
 def write_archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Writes the records of ``pages`` (page_id, url, html, digest, refers_to); returns the index, itself a stored table."""
-    folder = folder or workspace(pages.sparkSession, "warc")
+    folder = folder or shared_folder(pages.sparkSession, "warc")
     target = arrow_schema(INDEX)
 
     def run(batches):
@@ -102,7 +102,7 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
             out.close()
             return batch_of({c: [r[c] for r in rows] for c in target.names}, target)
 
-        for batch in batches:
+        for batch in slices(batches):
             for r in batch.to_pylist():
                 if out is None:
                     name, offset, rows = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, []
@@ -119,7 +119,7 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
         if out is not None:
             yield close()
 
-    small_batches(pages.sparkSession)
+    ship(pages.sparkSession)
     return stored(pages.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(run, INDEX), "warc-index")
 
 
@@ -151,7 +151,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 found = [parse(zlib.decompress(data[r["offset"] - first : r["offset"] - first + r["length"]], 31)) for r in some]
                 yield batch_of({c: [x[c] for x in found] for c in target.names}, target)
 
-    small_batches(index.sparkSession)
+    ship(index.sparkSession)
     return dealt.mapInArrow(run, FOUND)
 
 
