@@ -1,13 +1,14 @@
 """Best-fit packing of token sequences by exact complements.
 
 A plan needs lengths only, and there are at most ``SIZE`` of them: Spark counts the pieces of each length, and the plan is made
-on that histogram, whose size does not depend on the corpus. For each length, longest first, singles, pairs and
-triples of other lengths that fill the gap exactly are looked up and taken as often as the counts allow; what remains is filled
+on that histogram, whose size does not depend on the corpus. Sums of one, two and three lengths are indexed; for each length, longest first,
+the combinations indexed under its gap are taken as often as the counts allow; what remains is filled
 best fit, the longest length that still fits first. The plan is a list of patterns (lengths, how often), each of which
 uses up a length or ends a combination, so it stays short.
 
-Each piece then finds its place by itself: pieces of one length are numbered (within hashed chunks, so that a length that a third
-of all rows share is still counted in many tasks), and its number falls into an interval of one pattern's slot.
+Each piece then finds its place by itself. While pieces are written, each task numbers its pieces of one length; the numbers of earlier tasks'
+pieces are added from one slim row for each task and length, so numbering costs no sort and no length gathers in a task. A piece's number falls
+into an interval of one pattern's slot.
 """
 
 from __future__ import annotations
@@ -19,30 +20,35 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, per_batch, small_batches, stored
+from entitymart.llm.common import arrow_schema, batch_of, per_batch, ship, slices, stored
 from entitymart.llm.tokens import default_path, encoder
 
-#: Tokens of a sequence, the id that ends a document, and chunks in which the pieces of a length are numbered apart.
-SIZE, END, CHUNKS = 2048, 0, 256
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, dealt long"
+#: Tokens of a sequence, and the id that ends a document.
+SIZE, END = 2048, 0
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
 def pieces(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end: int = END) -> DataFrame:
-    """A row for each piece of each document, in place; ``dealt`` deals rows to chunks. A null text has the end id only."""
+    """A row for each piece of each document, in place; ``nth`` numbers a task's pieces of one length from 0. A null text has the end id only."""
     tokenizer = tokenizer or default_path()
     target = arrow_schema(PIECES)
     tail = np.array([end], dtype="<u4").tobytes()
 
-    def make(batch):
-        rows = []
-        for doc, dealt, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
-            data = ids + tail
-            for k, at in enumerate(range(0, len(data), 4 * size)):
-                part = data[at : at + 4 * size]
-                rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part), dealt ^ k))
-        return dict(zip(target.names, map(list, zip(*rows))))
+    def run(batches):
+        met = [0] * (size + 1)
+        for batch in slices(batches):
+            rows = []
+            for doc, task, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), encoder(tokenizer).encode(batch.column(1).to_pylist())):
+                data = ids + tail
+                for k, at in enumerate(range(0, len(data), 4 * size)):
+                    part = data[at : at + 4 * size]
+                    n = len(part) // 4
+                    rows.append((doc, k, at // 4, n, zlib.crc32(part), task, met[n]))
+                    met[n] += 1
+            yield batch_of(dict(zip(target.names, map(list, zip(*rows)))), target)
 
-    return per_batch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("d")), make, PIECES)
+    ship(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.spark_partition_id().alias("task")).mapInArrow(run, PIECES)
 
 
 @dataclass
@@ -55,6 +61,32 @@ class Plan:
     used: int
 
 
+class Sums:
+    """Which of the lengths at hand make up a sum: one, two (by the lesser of each pair) or three (by the greatest of each triple)."""
+
+    def __init__(self, present: np.ndarray):
+        self.present = present
+        n = len(present)
+        self.pairs = [np.flatnonzero(present[: s // 2 + 1] & present[s - np.arange(s // 2 + 1)]) for s in range(n)]
+        paired = np.array([len(p) > 0 for p in self.pairs])
+        self.triples = [np.flatnonzero(present[: s + 1] & paired[s - np.arange(s + 1)] & (3 * np.arange(s + 1) >= s)) for s in range(n)]
+
+    def of(self, gap: int, most: int):
+        """Combinations of lengths of at most ``most`` that fill ``gap``: the single, then pairs, then triples, the longest first."""
+        if gap <= most and self.present[gap]:
+            yield (gap,)
+        yield from self.two(gap, most)
+        for a in self.triples[gap][::-1].tolist():
+            if a <= most:
+                for b, c in self.two(gap - a, a):
+                    yield a, b, c
+
+    def two(self, gap: int, most: int):
+        for low in self.pairs[gap].tolist():
+            if gap - low <= most:
+                yield gap - low, low
+
+
 def patterns(counts: dict[int, int], size: int = SIZE) -> list[tuple[list[int], int]]:
     left = np.zeros(size + 1, dtype=np.int64)
     for n, c in counts.items():
@@ -70,30 +102,14 @@ def patterns(counts: dict[int, int], size: int = SIZE) -> list[tuple[list[int],
             left[at] -= times * need[at]
             out.append((parts, times))
 
-    def pairs(gap: int, most: int):
-        """Pairs that sum to ``gap``, both at most ``most``, the longest first."""
-        low = np.arange(1, gap // 2 + 1)
-        low = low[(gap - low <= most) & (left[low] > 0) & (left[gap - low] > 0)]
-        return [(gap - a, a) for a in low.tolist()]
-
     take([size])
+    sums = Sums(left > 0)
     for n in range(size - 1, 0, -1):
-        gap = size - n
-        if left[n] and gap <= n and left[gap]:
-            take([n, gap])
-        if left[n] and gap > 1:
-            for a, b in pairs(gap, n):
-                if not left[n]:
-                    break
-                take([n, a, b])
-        if left[n] and gap > 2:
-            for a in (x for x in range(min(n, gap - 2), 0, -1) if left[x]):
-                if not left[n] or a * 3 < gap:
-                    break
-                for b, c in pairs(gap - a, a):
-                    take([n, a, b, c])
-                    if not left[n] or not left[a]:
-                        break
+        for parts in sums.of(size - n, n) if left[n] else ():
+            if not left[n]:
+                break
+            if all(left[x] for x in parts):
+                take([n, *parts])
     # What is left, best fit: the longest that fits, again and again.
     while left.any():
         n = int(np.flatnonzero(left)[-1])
@@ -130,12 +146,10 @@ def plan(counts: dict[int, int], size: int = SIZE) -> Plan:
 
 
 def number(rows: DataFrame) -> DataFrame:
-    """Adds ``nth``: numbers pieces of one length from 0, chunk after chunk."""
-    dealt = rows.withColumn("chunk", F.pmod("dealt", F.lit(CHUNKS)).cast("int"))
-    counts = dealt.groupBy("length", "chunk").agg(F.count("*").alias("n"))
-    before = counts.select("length", "chunk", (F.sum("n").over(Window.partitionBy("length").orderBy("chunk")) - F.col("n")).alias("before"))
-    within = F.row_number().over(Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "dealt")) - 1
-    return dealt.withColumn("within", within).join(before, ["length", "chunk"]).withColumn("nth", F.col("within") + F.col("before"))
+    """``nth`` over all tasks: pieces of one length are numbered from 0, task after task."""
+    counts = rows.groupBy("length", "task").agg(F.count("*").alias("n"))
+    before = counts.select("length", "task", (F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")).alias("before"))
+    return rows.join(stored(before, "packing-before"), ["length", "task"]).withColumn("nth", F.col("nth") + F.col("before"))
 
 
 def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> DataFrame:
@@ -158,5 +172,4 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> Dat
         first = p.keys[at] & (1 << 44) - 1
         return columns | {"sequence_id": p.sequences[at] + nth - first, "offset": p.offsets[at]}
 
-    small_batches(docs.sparkSession)
     return per_batch(number(rows).select("doc_id", "piece", "start", "length", "ids_crc32", "nth"), make, schema)
