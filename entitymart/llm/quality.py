@@ -1,12 +1,13 @@
 """Document quality by Bradley-Terry pairwise ranking.
 
-Every labelled document of label 1 is preferred to every one of label 0. The strength of a document is linear in its text
-features, so a preference's probability is the logistic of the feature difference, and the weights minimise the logistic loss
-over pairs. The decision threshold is a score quantile: as large a share of the labelled documents falls below it as bears label 0. Scores
-are mapped so that this threshold is ``CUT``.
+Every labelled document of label 1 is preferred to every one of label 0. The strength of a document is linear in its text features: hashed
+words, pairs of words and runs of three bytes, and beside them a few shares of the whole text (capitals, signs, repeated words and lines).
+A preference's probability is the logistic of the feature difference, and the weights minimise the logistic loss over pairs. The decision
+threshold is a score quantile: as large a share of the labelled documents falls below it as bears label 0. Scores are mapped so that
+this threshold is ``CUT``.
 
 The weights are fitted on ``PER_CLASS`` labelled documents of each class at most, chosen by a hash of the id, outside the held-out fold; only
-their features reach the driver. The quantile is taken over the scores of all labelled documents outside that fold: a narrow map gives raw
+their features reach the driver. The quantile is taken over the scores of all labelled documents outside that fold: a narrow map gives their raw
 scores, slim rows meet the labels, and histograms of at most ``BINS`` counts find the two scores that the threshold lies between.
 Scoring is a narrow map over whole texts.
 """
@@ -14,17 +15,21 @@ Scoring is a narrow map over whole texts.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from entitymart.llm.common import fold, per_batch, stored
+from entitymart.llm.common import fold, maybe_one_of, packed, per_batch, stored, unpacked
 
-#: Labelled documents of each class in the fit, pairs drawn from them at each step, steps, and the score at the threshold.
-PER_CLASS, PAIRS, STEPS, CUT = 4000, 20_000, 300, 0.7
+#: Labelled documents of each class in the fit, parts they are dealt to, pairs drawn at a step, rounds over all parts, and the score at the threshold.
+PER_CLASS, PARTS, PAIRS, ROUNDS, CUT = 2000, 10, 5000, 15, 0.7
+#: Buckets of hashed words and pairs of words, and as many again of byte runs.
+BUCKETS = 1 << 16
 #: Counts of a histogram of raw scores.
 BINS = 4096
 
@@ -33,10 +38,10 @@ _KIND = bytes(
     76 if b >= 0x80 or 97 <= b <= 122 else 85 if 65 <= b <= 90 else 68 if 48 <= b <= 57 else 83 if b in b" \t\n\r\v\f" else 80 if b in b".,;:'\"?-()" else 89
     for b in range(256)
 )
-N_FEATURES = 14
+N_SHARES = 14
 
 
-def features(text: str | None) -> list[float]:
+def shares(text: str | None) -> list[float]:
     text = text or ""
     data = text.encode("utf-8", "replace")
     kind = data.translate(_KIND)
@@ -63,39 +68,102 @@ def features(text: str | None) -> list[float]:
     ]
 
 
+def hashed(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's words, pairs of words and byte runs, with values whose squares sum to 1 for each kind."""
+    data = (text or "").encode("utf-8", "replace").lower()
+    words = np.array(list(map(zlib.crc32, data.split())), dtype=np.uint32)
+    pairs = (words[:-1] * np.uint32(0x9E3779B1) ^ words[1:]) * np.uint32(0x85EBCA77)
+    codes = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
+    runs = (codes[:-2] << np.uint32(16) | codes[1:-1] << np.uint32(8) | codes[2:]) * np.uint32(0x9E3779B1) if len(codes) > 2 else codes[:0]
+    at, values = [], []
+    for first, some in ((0, np.concatenate([words, pairs])), (BUCKETS, runs)):
+        bucket, n = np.unique(some >> np.uint32(16), return_counts=True)
+        value = np.log1p(n).astype(np.float32)
+        at.append(bucket.astype(np.int32) + np.int32(first))
+        values.append(value / max(1e-6, float(np.sqrt((value * value).sum()))))
+    return np.concatenate(at), np.concatenate(values).astype(np.float32)
+
+
+@dataclass
+class Features:
+    """Many documents' features: a row of shares for each, and their buckets and values, one document after the other."""
+
+    shares: np.ndarray
+    at: np.ndarray
+    values: np.ndarray
+    stops: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str | None]) -> Features:
+        x = np.array([shares(t) for t in texts]).reshape(-1, N_SHARES)
+        found = list(map(hashed, texts))
+        return cls.joined(x, [a for a, _ in found], [v for _, v in found])
+
+    @classmethod
+    def joined(cls, x: np.ndarray, at: list[np.ndarray], values: list[np.ndarray]) -> Features:
+        empty = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.float32)]
+        return cls(x, np.concatenate(at or empty[0]), np.concatenate(values or empty[1]), np.cumsum([0, *map(len, at)]))
+
+    def dot(self, weights: np.ndarray) -> np.ndarray:
+        """Each document's sum over its buckets, whatever other documents there are."""
+        total, some = np.zeros(len(self.stops) - 1), self.stops[1:] > self.stops[:-1]
+        if some.any():
+            total[some] = np.add.reduceat((self.values * weights[self.at]).astype(np.float64), self.stops[:-1][some])
+        return total
+
+    def gathered(self, of_document: np.ndarray) -> np.ndarray:
+        """Each bucket's sum of a number of each document."""
+        return np.bincount(self.at, weights=self.values * np.repeat(of_document, np.diff(self.stops)), minlength=2 * BUCKETS)
+
+
 @dataclass
 class Model:
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
+    table: np.ndarray
     threshold: float
     slope: float
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.spread, -8, 8) @ self.weights
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((x - self.mean) / self.spread, -8, 8)
+
+    def raw(self, x: Features) -> np.ndarray:
+        return self.scaled(x.shares) @ self.weights + x.dot(self.table)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def score(self, x: Features) -> np.ndarray:
         z = np.clip((self.raw(x) - self.threshold) * self.slope, -30, 30) + math.log(CUT / (1 - CUT))
         return 1 / (1 + np.exp(-z))
 
 
 #: Without pairs to learn from no document is rejected: all get the threshold's score.
-BLANK = Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0, 0.0)
+BLANK = Model(np.zeros(N_SHARES), np.ones(N_SHARES), np.zeros(N_SHARES), np.zeros(2 * BUCKETS, dtype=np.float32), 0.0, 0.0)
 
 
-def learn(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS, steps: int = STEPS) -> Model:
-    """Weights and slope; the threshold is still 0."""
-    if not len(good) or not len(bad):
+def learn(x: np.ndarray, at: list[np.ndarray], values: list[np.ndarray], label: np.ndarray, pairs: int = PAIRS, rounds: int = ROUNDS) -> Model:
+    """Weights and slope; the threshold is still 0. Each step draws pairs within one of ``PARTS`` parts of the documents, and is scaled
+    by each weight's past gradients."""
+    if len(set(label.tolist())) < 2:
         return BLANK
-    both = np.concatenate([good, bad])
-    mean, spread = both.mean(axis=0), both.std(axis=0) + 1e-3
-    g, b = (np.clip((x - mean) / spread, -8, 8) for x in (good, bad))
-    rng, w, rate = np.random.default_rng(7), np.zeros(both.shape[1]), 0.5
-    for step in range(steps):
-        diff = g[rng.integers(len(g), size=pairs)] - b[rng.integers(len(b), size=pairs)]
-        miss = 1 / (1 + np.exp(np.clip(diff @ w, -30, 30)))
-        w += rate / (1 + step / 100) * (diff.T @ miss / pairs - 1e-3 * w)
-    return Model(mean, spread, w, 0.0, 6 / max(1e-6, float((g @ w).mean() - (b @ w).mean())))
+    model = Model(x.mean(axis=0), x.std(axis=0) + 1e-3, np.zeros(N_SHARES), np.zeros(2 * BUCKETS), 0.0, 1.0)
+    rng = np.random.default_rng(7)
+    # both classes are dealt evenly
+    parts = [p for p in (np.concatenate([rng.permutation(np.flatnonzero(label == q))[i::PARTS] for q in (0, 1)]) for i in range(PARTS)) if len(set(label[p].tolist())) == 2]
+    dealt = [(label[p], Features.joined(model.scaled(x[p]), [at[i] for i in p], [values[i] for i in p])) for p in parts]
+    past = [np.full(N_SHARES, 1e-6), np.full(2 * BUCKETS, 1e-6)]
+    for label_, some in dealt * rounds:
+        raw = some.shares @ model.weights + some.dot(model.table)
+        good, bad = np.flatnonzero(label_ == 1), np.flatnonzero(label_ == 0)
+        g, b = good[rng.integers(len(good), size=pairs)], bad[rng.integers(len(bad), size=pairs)]
+        miss = 1 / (1 + np.exp(np.clip(raw[g] - raw[b], -30, 30)))
+        push = (np.bincount(g, miss, len(label_)) - np.bincount(b, miss, len(label_))) / pairs
+        for weights, gradient, sums in ((model.weights, some.shares.T @ push, past[0]), (model.table, some.gathered(push), past[1])):
+            gradient -= 1e-4 * weights
+            sums += gradient * gradient
+            weights += 0.1 * gradient / np.sqrt(sums)
+    raw = [(label_, some.shares @ model.weights + some.dot(model.table)) for label_, some in dealt]
+    means = [float(np.concatenate([r[label_ == q] for label_, r in raw]).mean()) for q in (0, 1)]
+    return replace(model, table=model.table.astype(np.float32), slope=6 / max(1e-6, means[1] - means[0]))
 
 
 def cut_after(scores: DataFrame, n: int) -> float:
@@ -115,10 +183,11 @@ def cut_after(scores: DataFrame, n: int) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """``labels``: doc_id and quality 0 or 1; rows with other or null values, or of held-out ids, teach nothing."""
+    """``labels``: doc_id and quality 0 or 1; rows with other or null values, or of held-out ids, teach nothing. Repeated rows of a label
+    count once; a document with both labels is in both classes. No label of one class: a model that rejects nothing."""
     known = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 2)
-    )
+    ).distinct()
     seen = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
     if len(seen) < 2:
         return BLANK
@@ -128,36 +197,33 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
 
     def make(batch):
-        return {"quality": batch.column(0), "x": [features(t) for t in batch.column(1).to_pylist()]}
+        found = list(map(hashed, texts := batch.column(1).to_pylist()))
+        return {"quality": batch.column(0), "x": list(map(shares, texts)), "at": [a.tobytes() for a, _ in found], "value": [v.tobytes() for _, v in found]}
 
-    rows = per_batch(sample, make, "quality int, x array<double>").collect()
-    split = [np.array([r["x"] for r in rows if r["quality"] == q]).reshape(-1, N_FEATURES) for q in (1, 0)]
-    model = learn(*split)
+    rows = per_batch(sample, make, "quality int, x array<double>, at binary, value binary").toArrow()
+    buckets = [[np.frombuffer(b, dtype=t) for b in rows.column(c).to_pylist()] for c, t in (("at", np.int32), ("value", np.float32))]
+    model = learn(np.array(rows.column("x").to_pylist()).reshape(-1, N_SHARES), *buckets, rows.column("quality").to_numpy())
     if model is BLANK:
         return BLANK
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(batch):
-        x = np.array([features(t) for t in batch.column(1).to_pylist()])
-        return {"doc_id": batch.column(0), "raw": shared.value.raw(x)}
+        return {"doc_id": batch.column(0), "raw": shared.value.raw(Features.of(batch.column(1).to_pylist()))}
 
-    asked = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 2))
-    raw = per_batch(asked, rate, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, raw double")
+    asked = docs.select("doc_id", "text").where(maybe_one_of(stored(known.select("doc_id").distinct(), "quality-ids"), F.col("doc_id")))
+    raw = per_batch(asked, rate, StructType([docs.schema["doc_id"], StructField("raw", DoubleType())]))
     scores = stored(raw.join(known, "doc_id").select("quality", "raw"), "quality-scores")
     return replace(model, threshold=cut_after(scores, scores.where("quality = 0").count()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` plus quality_score and held_out. A null text counts as empty; repeated rows repeat."""
+    """All columns of ``docs``, under any name, plus held_out and quality_score, which replace columns so called. A null text counts as
+    empty; repeated rows repeat; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("quality_score", "held_out")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema)
+    rows = docs.select(packed(docs, ("quality_score", "held_out")).alias("row"), "text", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"))
 
     def make(batch):
-        names = batch.schema.names
-        x = np.array([features(t) for t in batch.column(names.index("text")).to_pylist()])
-        out = {c: batch.column(names.index(c)) for c in kept}
-        return out | {"held_out": batch.column(names.index("held_out")), "quality_score": shared.value.score(x)}
+        return {"row": batch.column(0), "held_out": batch.column(2), "quality_score": shared.value.score(Features.of(batch.column(1).to_pylist()))}
 
-    rows = docs.select(*kept, F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"))
-    return per_batch(rows, make, f"{schema}, held_out boolean, quality_score double")
+    schema = StructType([rows.schema["row"], rows.schema["held_out"], StructField("quality_score", DoubleType())])
+    return per_batch(rows, make, schema).select(*unpacked(rows, "row"), "held_out", "quality_score")
