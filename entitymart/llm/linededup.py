@@ -5,10 +5,11 @@ occurs again, in another document or later in the same one, is a later occurrenc
 (doc_id, place); the lines that later occurrences cover are removed, united per document. Texts of fewer than three lines have no window
 and stay. The content of a removed line always survives at its first place.
 
-Shuffles: one aggregation of slim window rows (two hashes, an id), with partial sums before it, so a window that a third of all rows
-share sends one row a task; one join of the windows with the repeated ones only, which are stored first, so that adaptive
-execution can split a hot window's rows; and one join that brings the covered lines to the documents. Both joins are merge joins at
-every size: neither side has a bound.
+The windows are written once as slim rows (two hashes, an id, a place). Shuffles: one aggregation of them, with partial sums before it, so a
+window that a third of all rows share sends one row a task; one join with the repeated windows only, which adaptive execution can split
+at a hot window; and one join that brings the covered lines to the documents. For the last, documents that a bit field of bounded size
+knows to be untouched stay where they are; only the others travel. Joins are merge joins at every size: no side
+has a bound.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import stored
+from entitymart.llm.common import maybe_one_of, packed, stored, unpacked
 
 
 def windows(docs: DataFrame) -> DataFrame:
@@ -47,26 +48,28 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the texts' repeated windows removed, plus n_lines and n_removed.
 
     Rows with a null id or text keep their text and take no part; a null text has 0 lines. Repeated rows (same id and text) are
-    one document and keep the same lines. Extra columns pass through; columns called n_lines or n_removed are replaced.
+    one document and keep the same lines. Extra columns pass through under any name; columns called n_lines or n_removed are replaced.
     """
-    slim = windows(docs)
+    slim = stored(windows(docs), "linededup-windows")
     repeated = slim.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     repeated = stored(repeated, "linededup-repeated")
     found = slim.join(repeated.hint("merge"), ["h1", "h2"]).select("doc_id", F.struct("h1", "h2", "th", "pos", (F.col("doc_id") == F.col("first_id")).alias("own")).alias("w"))
     per_doc = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("w")).alias("found"))
-    later = per_doc.select(F.col("doc_id").alias("_id"), later_first(F.col("found")).alias("later")).where(F.size("later") > 0)
+    later = per_doc.select(F.col("doc_id").alias("id"), later_first(F.col("found")).alias("later")).where(F.size("later") > 0)
     later = stored(later, "linededup-later")
 
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    lined = docs.select(*kept, F.split("text", "\n", -1).alias("_lines"), F.xxhash64("text").alias("_th"))
-    both = lined.join(later.hint("merge"), (F.col("doc_id").cast("long") == F.col("_id")), "left")
-    starts = F.transform(F.filter("later", lambda x: x["th"] == F.col("_th")), lambda x: x["pos"])
+    rows = docs.select(packed(docs, ("n_lines", "n_removed")).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    touched = maybe_one_of(later.select("id"), F.col("id"))
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    n_lines = F.coalesce(lines, F.lit(0)).cast("long")
+    stay = rows.where(~touched).select(*unpacked(rows, "row"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+
+    both = rows.where(touched).join(later.hint("merge"), "id", "left")
+    starts = F.transform(F.filter("later", lambda x: x["th"] == F.xxhash64("text")), lambda x: x["pos"])
     covered = F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), covered)
-    marked = both.withColumn("_kept", F.when(F.col("later").isNotNull() & F.col("text").isNotNull(), places))
-    text = F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long")
-    return marked.select(
-        *[F.when(F.col("_kept").isNotNull(), text).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c) for c in kept],
-        n.alias("n_lines"), F.coalesce(F.size("_lines") - F.when(F.col("_kept").isNotNull(), F.size("_kept")), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    split = both.withColumn("lines", F.when(F.col("later").isNotNull() & F.col("text").isNotNull(), F.split("text", "\n", -1)))
+    kept = split.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered))
+    text = F.when(F.col("kept").isNotNull(), F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("text"))
+    columns = [text.alias(c) if c.lower() == "text" else x for c, x in zip(rows.schema["row"].dataType.names, unpacked(rows, "row"))]
+    removed = F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long")
+    return stay.unionAll(kept.select(*columns, n_lines.alias("n_lines"), removed.alias("n_removed")))
