@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from entitymart.llm import decontaminate, language, linededup, media_ts, neardup, orcids, packing, quality, queries, simhash, tokens, urls, warc
+from entitymart.llm import common, decontaminate, language, linededup, media_ts, neardup, orcids, packing, quality, queries, simhash, tokens, urls, warc
 
 RNG = random.Random(5)
 WORDS = ["".join(RNG.choice("abcdefghilmnoprstu") for _ in range(RNG.randint(2, 8))) for _ in range(3000)]
@@ -57,6 +57,68 @@ def test_tokens_are_those_of_the_library(bpe):
     assert got == [np.array(plain_ids(bpe, t), dtype="<u4").tobytes() for t in texts]
 
 
+def test_every_character_is_encoded_as_by_the_library(bpe):
+    encoder = tokens.Encoder(tokens.default_path())
+    chars = [chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    for around in ("{}", "a{}b", "({}una)", "!{}9"):
+        texts = [around.format(c) for c in chars]
+        want = [np.array(e.ids, dtype="<u4").tobytes() for e in bpe.encode_batch(texts, add_special_tokens=False)]
+        assert encoder.encode(texts) == want
+    latin = [chr(c) for c in range(9, 0x250) if chr(c).isprintable() or chr(c) in "\t\n\r"]
+    texts = ["".join(RNG.choice(latin if RNG.random() < 0.5 else "abc'stredvm ,.!1Z(") for _ in range(RNG.randint(0, 40))) for _ in range(30_000)]
+    assert encoder.encode(texts) == [np.array(e.ids, dtype="<u4").tobytes() for e in bpe.encode_batch(texts, add_special_tokens=False)]
+
+
+def every_name(module):
+    """All names that stand in quotes or as keywords in a module: a table with columns called like them."""
+    import re
+
+    found = re.findall(r"[\"'](\w+)[\"']|(\w+)=", open(module.__file__).read())
+    return sorted({a or b for a, b in found if (a or b).isidentifier()})
+
+
+def with_names(df, module, *own):
+    """``df`` with further columns of all names that the module uses, but its ``own`` results."""
+    lower = {c.lower() for c in (*df.columns, *own)}
+    new = {}
+    for n in every_name(module):
+        if n.lower() not in lower:
+            lower.add(n.lower())
+            new[n] = F.lit(1)
+    return df.withColumns(new)
+
+
+def test_clashing_names_pass_through(spark):
+    few = docs(spark, [(1, "p\nq\nr"), (2, "p\nq\nr"), (3, "the cat the dog")]).select("doc_id", "text")
+    bench = spark.createDataFrame([(1, "the cat")], "item_id long, text string")
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    cases = [
+        (linededup, few, ("n_lines", "n_removed"), linededup.dedup_lines),
+        (neardup, few, (), neardup.keep_one),
+        (decontaminate, few, ("items", "spans", "n_words", "n_hit"), lambda d: decontaminate.scan(d, bench)),
+        (urls, pages, ("host", "path", "rule", "verdict"), lambda d: urls.judge(d, rules)),
+        (quality, few, ("held_out", "quality_score"), lambda d: quality.score(d, quality.fit(d, labels))),
+    ]
+    for module, df, own, apply in cases:
+        wide = with_names(df, module, *own)
+        assert len(wide.columns) > 10
+        got = apply(wide)
+        assert got.columns == [*wide.columns, *own] and got.count() == (df.count() - 1 if module is neardup else df.count())
+        assert all(r[c] == 1 for r in got.select(*wide.columns[2:]).collect() for c in wide.columns[2:])
+
+
+def test_the_session_keeps_its_settings(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    few = docs(spark, TEXTS[:4])
+    simhash.near_duplicates(few).count()
+    orcids.round_trip(few).count()
+    packing.pack(few).count()
+    assert spark.conf.get(name) == before
+
+
 # 1
 
 
@@ -80,6 +142,61 @@ def test_stream_damage_is_seen():
     assert media_ts.demux(bytes(flipped))["bad"] == 1
 
 
+def test_streams_of_one_program_are_told_apart():
+    payloads = {0x100 + i: random.Random(i).randbytes(3000 * i + 5) for i in range(70)}  # their map takes two packets
+    media = media_ts.mux_streams(payloads)
+    found = media_ts.demux(media)
+    assert {pid: s.payload for pid, s in found["elementary"].items()} == payloads and not (found["bad"] or found["cc_errors"] or found["lost_sync"])
+    assert found["payload"] == payloads[0x100] and found["streams"] == 70
+
+
+def test_packets_may_repeat_jump_and_be_found_again():
+    media = media_ts.mux(random.Random(1).randbytes(40_000))
+    whole = media_ts.demux(media)
+    twice = media_ts.demux(media[: 188 * 10] + media[188 * 9 :])
+    assert twice["payload"] == whole["payload"] and not (twice["cc_errors"] or twice["bad"])
+    shifted = media_ts.demux(media[: 188 * 5] + b"\x01\x02\x03" + media[188 * 5 :])
+    assert shifted["payload"] == whole["payload"] and shifted["lost_sync"] == 1
+    at = next(i for i in range(376, len(media), 188) if media[i + 3] & 0x20 and media[i + 4] > 6)
+    lost = bytearray(media[: at - 188] + media[at:])
+    lost[at - 188 + 5] |= 0x80  # flagged as discontinuous
+    assert media_ts.demux(bytes(lost))["cc_errors"] == 0
+
+
+def test_no_stream_is_refused():
+    rng, media = random.Random(3), media_ts.mux_streams({0x100: bytes(3000), 0x101: bytes(2500)})
+    for cut in range(0, len(media), 3):
+        media_ts.demux(media[:cut])
+    for _ in range(3000):
+        some = bytearray(media)
+        for _ in range(rng.randint(1, 8)):
+            some[rng.randrange(len(some))] = rng.randrange(256)
+        at = rng.randrange(len(some))
+        del some[at : at + rng.choice([0, 0, 1, 200])]
+        media_ts.demux(bytes(some))
+
+
+def plain_stream(media):
+    """Another reading of a whole stream: timestamps and offsets of random-access points by the bits of the packets."""
+    pts, raps = [], []
+    for at in range(0, len(media), 188):
+        bits = int.from_bytes(media[at : at + 188], "big")
+        field = lambda first, n: bits >> 188 * 8 - first - n & (1 << n) - 1
+        assert field(0, 8) == 0x47
+        if field(11, 13) != 0x100:
+            continue
+        start = 4
+        if field(26, 1):
+            start = 5 + field(32, 8)
+            if field(32, 8) and field(41, 1):
+                raps.append(at)
+        if field(9, 1):
+            p = start * 8
+            assert field(p, 24) == 1 and field(p + 56, 1) == 1
+            pts.append(field(p + 76, 3) << 30 | field(p + 80, 15) << 15 | field(p + 96, 15))
+    return pts, raps
+
+
 def test_media_features(spark):
     got = rows_of(media_ts.media_features(docs(spark)))
     assert len(got) == len(TEXTS)
@@ -89,6 +206,11 @@ def test_media_features(spark):
         payload = data + b"\xff" * (-len(data) % 576 if data else 576)
         assert (r["n_bytes"], r["payload_bytes"]) == (len(data), len(payload))
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-32:])
+        media = media_ts.mux(payload)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+        assert (r["pts"], r["rap_offsets"]) == plain_stream(media)
+        raps, last = len(r["rap_offsets"]), r["pts"][-1]
+        assert r["feature"].endswith(f"packets={len(media) // 188} lost_sync=0 cc_errors=0 bad=0 units={len(r['pts'])} raps={raps} pts=0..{last}")
 
 
 # 2
@@ -179,12 +301,24 @@ def test_urls(spark):
     assert urls.judge(df.where("false"), rules).count() == 0
 
 
+def test_lists_of_any_length_are_dealt_to_cascades(spark, monkeypatch):
+    rules = [(f"h{i}.net", "/" * (i % 3), "block" if i % 2 else "allow") for i in range(300)]
+    pages = [(i, f"http://{'x.' * (i % 2)}h{i % 400}.net//p") for i in range(1000)] + [(None, None)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    want = urls.judge(df, listed).collect()
+    assert {r["rule"] for r in want} > {"h1.net/", "h3.net", None}
+    monkeypatch.setattr(urls, "MAX_BYTES", 128)
+    parts = []
+    monkeypatch.setattr(urls, "judged_in_parts", lambda *a, f=urls.judged_in_parts: parts.append(a[-1]) or f(*a))
+    assert sorted(map(str, urls.judge(df, listed).collect())) == sorted(map(str, want)) and parts[0] > 2
+
+
 def test_cascade_is_exact_with_many_false_positives(spark, monkeypatch):
-    monkeypatch.setattr(urls, "FIRST_RATE", 0.5)
     monkeypatch.setattr(urls, "RATE", 0.5)
     keys = spark.range(6000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = keys.where("hash(key) % 7 = 0")
-    c = urls.cascade(listed, keys)
+    c = urls.cascades(listed.select(F.lit(1).alias("v"), "key"), keys.unionAll(keys), 0.5)[1]
     n = len(c.levels)
     columns = [h.alias(f"h{i}") for i in range(2 * n) for h in [urls.hashes(F.col("key"), i // 2)[i % 2]]]
     rows = keys.select("key", *columns).collect()
@@ -264,6 +398,62 @@ def test_tree_is_shaped_by_a_part_of_the_points(spark, monkeypatch):
     assert {r["fp"] for r in found} >= {*fps[:300], *fps[2000:]}
 
 
+def test_a_chain_of_groups_takes_few_rounds(spark, monkeypatch):
+    n, wrote = 4000, []
+    monkeypatch.setattr(simhash, "stored", lambda df, what, f=simhash.stored: wrote.append(what) or f(df, what))
+    members = spark.range(n).select(F.explode(F.array("id", F.col("id") + 1)).alias("fp"), F.col("id").alias("gid"), F.lit(0).alias("part"), F.lit(1).alias("parts"))
+    got = simhash.join_groups(members, spark.range(n + 1).select(F.col("id").alias("fp"), F.col("id").alias("label")))
+    assert got.where("label = 0").count() == n + 1
+    assert wrote.count("simhash-step") <= 16
+
+
+def plain_sets(sets, similarity):
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if common >= similarity * (len(sets[a]) + len(sets[b]) - common):
+                label = [min(label[a], label[b]) if x in (label[a], label[b]) else x for x in label]
+    return label
+
+
+def found_in_band(spark, sets, group, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP", group)
+    n, blocks = len(sets), -(-len(sets) // group)
+    df = spark.createDataFrame([(7, i, np.array(sorted(x), dtype=np.uint64).tobytes()) for i, x in enumerate(sets)], "band long, point long, set binary")
+    block = F.pmod(F.xxhash64("point"), F.lit(blocks)).alias("block")
+    members = neardup.search_bands(df.select("band", block, F.lit(blocks > 1).alias("many"), "point"), df.select("point", "set"), 0.8)
+    got = simhash.join_groups(members, spark.range(n).select(F.col("id").alias("fp"), F.col("id").alias("label")))
+    label = dict(got.select("fp", "label").collect())
+    return [label.get(i, i) for i in range(n)]
+
+
+@pytest.mark.parametrize("chain", [False, True])
+def test_large_bands_lose_no_link(spark, monkeypatch, chain):
+    rng, sets = random.Random(chain), []
+    for _ in range(5):
+        base = rng.sample(range(10**9), 60)
+        for _ in range(30):
+            x = list(base)
+            for i in rng.sample(range(60), rng.randint(1, 8)):
+                x[i] = rng.randrange(10**9)
+            sets.append(set(x))
+            base = x if chain else base
+    rng.shuffle(sets)
+    assert found_in_band(spark, sets, 16, monkeypatch) == plain_sets(sets, 0.8)
+
+
+def test_a_large_group_of_near_copies_sends_each_text_once(spark, monkeypatch):
+    rng, n = random.Random(2), 20_000
+    base = rng.sample(range(10**12), 60)
+    sets = [set(base) - {base[i % 60]} | {10**13 + i} for i in range(n)]
+    rows = []
+    dealt = neardup.by_group
+    monkeypatch.setattr(neardup, "by_group", lambda some, *a: rows.append(some.count()) or dealt(some, *a))
+    assert set(found_in_band(spark, sets, 1000, monkeypatch)) == {0}
+    assert rows[0] == n and sum(rows) < 1.05 * n
+
+
 def plain_near(rows, k=5, similarity=0.8):
     sets = []
     for i, t in rows:
@@ -291,6 +481,8 @@ def test_one_of_near_copies_stays(spark, monkeypatch):
     rows += [(5000 + i, prose(80, 700 + i)) for i in range(30)] + [(9000, None), (9001, ""), (9002, "one two"), (9003, "ONE two")]
     got = sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, rows)).collect())
     assert got == sorted(plain_near(rows))
+    monkeypatch.setattr(neardup, "GROUP", 1000)
+    assert sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, rows)).collect()) == got
     assert neardup.keep_one(docs(spark, [(None, "a b"), (None, "a b"), (1, "a b")])).count() == 3
 
 
@@ -412,11 +604,29 @@ def test_quality_threshold_covers_all_labels(spark, monkeypatch):
     monkeypatch.setattr(quality, "BINS", 8)  # so that histograms are refined
     model = quality.fit(df, labels, per_class=25)
     taught = [(i % 40 < 23, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
-    raw = sorted(model.raw(np.array([quality.features(t) for _, t in taught])))
+    raw = sorted(model.raw(quality.Features.of([t for _, t in taught])))
     n = sum(not good for good, _ in taught)
     assert model.threshold == pytest.approx((raw[n - 1] + raw[n]) / 2, abs=1e-9)
 
 
+HELD_OUT_DIR = "/root/testdata/sf0.01"
+
+
+def test_quality_on_held_out_documents(spark):
+    labels = {r["doc_id"]: r["quality"] for r in common.table(spark, HELD_OUT_DIR, "labels").where("quality is not null").collect()}
+    held = [r for r in queries.op8_quality(spark, HELD_OUT_DIR).where("held_out").collect() if r["doc_id"] in labels]
+    good, bad = ([r["score"] for r in held if labels[r["doc_id"]] == q] for q in (1, 0))
+    assert len(good) > 30 and len(bad) > 5 and all(r["predicted"] == (r["score"] >= 0.7) for r in held)
+    assert sum(x > y for x in good for y in bad) >= 0.98 * len(good) * len(bad)
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.95 * len(held)
+
+
+def test_language_on_held_out_documents(spark):
+    lang = {r["doc_id"]: r["lang"] for r in common.table(spark, HELD_OUT_DIR, "documents").where("lang is not null").select("doc_id", "lang").collect()}
+    held = [r for r in queries.op3_language_id(spark, HELD_OUT_DIR).where("held_out and lang_pred <> 'und'").collect() if r["doc_id"] in lang]
+    assert len(held) > 100 and sum(r["lang_pred"] == lang[r["doc_id"]] for r in held) >= 0.98 * len(held)
+
+
 # 9
 
 
@@ -466,3 +676,27 @@ def test_orc_ids(spark, bpe):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(x), zlib.crc32(np.array(x, dtype="<u4").tobytes()))
         at += len(x)
     assert orcids.round_trip(docs(spark).where("false")).count() == 0
+
+
+def test_orc_files_are_read_by_id(spark):
+    from entitymart.sources.storage import shared_folder
+
+    folder, n = shared_folder(spark, "orc-test"), 60_000
+    few = spark.range(n).select((F.col("id") * 2).alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
+    orcids.write_ids(few.coalesce(1), folder)
+    some = orcids.read_some(spark, folder, [2 * 11, 2 * 50_000, 7])
+    assert sorted(r["doc_id"] for r in some.collect()) == [22, 100_000]
+    stride = int(orcids.OPTIONS["orc.row.index.stride"])
+    with_rows = spark.read.schema(orcids.SCHEMA).orc(folder)
+    scan = lambda cond: scanned_rows(with_rows.where(cond))
+    assert scan("true") == n
+    assert scan(F.col("doc_id") == 100_000) <= 2 * stride  # row groups outside the range are skipped
+    assert scan(F.col("doc_id") == 100_001) == 0  # within the range, but the Bloom filter knows better
+
+
+def scanned_rows(df):
+    seen = df.select("doc_id")
+    seen.collect()
+    plan = seen._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))

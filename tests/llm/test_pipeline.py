@@ -25,9 +25,31 @@ def test_stages(spark):
             want = plain_lines(before.items())
             assert kept == {i: t for i, t in want.items() if t or t == before[i]}
         if name == "near_dedup":
-            assert set(kept) == plain_near(list(before.items()))
+            assert set(kept) == plain_near(sorted(before.items()))
         if name == "decontamination":
             assert set(kept) == {i for i, t in before.items() if plain_hits(t, items)[1] == 0}
         if name == "packing":
             assert {r["doc_id"] for r in after.collect()} == set(before)
         docs = after
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Nulls, repeated ids and rows, an extra column, and an empty table, through all stages."""
+    text = "one two three four five six seven eight nine ten\nb\nc\nd"
+    rows = [(1, text), (1, text), (1, "another text under the same id"), (None, text), (None, None), (2, None), (3, ""), (4, "x " * 3000)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 7) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _id int")
+    path = str(tmp_path)
+    spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of this"), (None, text)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    for table_rows in (docs, docs.where("false")):
+        now = table_rows
+        for name, stage in corpus_pipeline.STAGES:
+            now = stored(stage(spark, now, path), name)
+            if name != "packing":
+                assert now.columns == docs.columns
+        found = sorted((r["doc_id"] or 0, r["length"]) for r in now.collect())
+        if table_rows is docs:
+            # labels of one class reject nothing; repeated rows stay, as do null ids; a text without words is a duplicate of the least such id
+            assert {i for i, _ in found} == {0, 1, 2, 4} and len([i for i, _ in found if i == 1]) == 3 and len([i for i, _ in found if i == 0]) == 2
+        else:
+            assert found == []
