@@ -7,13 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from entitymart.functions.claims import duration_seconds, first_parsed_date, precise_date, resolved_label, trimmed
-from entitymart.operators import audit, merge, search, update
-from entitymart.operators.classify import classify
+from entitymart.operators import audit, details, merge, search, update
+from entitymart.operators.classify import branches, classify
 from entitymart.operators.extract import entries
-from entitymart.plans.catalog import bootstrap, populate, run_update
+from entitymart.plans.catalog import bootstrap, populate, run_update, sync
 from entitymart.schemas import ENTITY
+from entitymart.sources import staging
 from entitymart.sources.dump import by_ids, counters, rejects, scan, triage
 from entitymart.sources.storage import latest, publish, shared_folder
+from entitymart.streaming.updates import apply_batch, read_changes, start
 
 
 def claim(value, snaktype="value"):
@@ -202,3 +204,90 @@ def test_decoding_of_responses(spark):
     assert rows(update.decode_bindings(pages)) == [("Q1",)]
     found = update.decode_envelope(spark.createDataFrame([('{"entities":{"Q1":{"id":"Q1"}}}',), ("{}",)], "value string")).collect()
     assert {(r["qid"], r["value"], r["problem"]) for r in found} == {("Q1", '{"id":"Q1"}', None), (None, None, "no entity in the response")}
+
+
+def test_orphans_are_counted(second):
+    t = second.tables
+    planted = t | {
+        "album_artist": t["album_artist"].unionAll(t["album_artist"].limit(1).select(F.lit("Q4"), F.lit("Q404"), F.lit("performer"))),
+        "artist_member_of": t["artist_member_of"].unionAll(t["artist_member_of"].limit(1).select(F.lit("Q405"), F.lit("Q406"))),
+    }
+    assert {r["metric"]: r["n"] for r in audit.orphans(planted).where("n > 0").collect()} == {"album_artist.artist_id": 1, "artist_member_of.artist_id": 1, "artist_member_of.group_id": 1}
+
+
+def test_details_are_in_order(spark, second):
+    t = second.tables | {
+        "track": spark.createDataFrame([("T1", "a", 5), ("T2", "b", None), ("T3", "c", 65), ("T4", "d", 1)], "id string, name string, duration_seconds int"),
+        "track_album": spark.createDataFrame([("T1", "Q4", None), ("T2", "Q4", 2), ("T3", "Q4", 1), ("T4", "Q4", None)], "track_id string, album_id string, track_number int"),
+    }
+    hits = second.tables["album"].where("id = 'Q4'").select("id", "name")
+    assert rows(details.album_tracks(hits, t).select("place", "track_id")) == [(1, "T3"), (2, "T2"), (3, "T1"), (4, "T4")]
+    assert details.album_cards(hits, t).first()["tracks"] == "01. c (1:05); 02. b;   - a (0:05);   - d (0:01)"
+
+
+def test_keyset_pages(spark):
+    df = spark.range(25).select(F.format_string("Q%02d", "id").alias("id"))
+    pages = list(update.keyset_pages(lambda cursor: update.keyset_page(df, cursor, 10), 10))
+    assert [len(p) for p in pages] == [10, 10, 5] and [p[0]["id"] for p in pages] == ["Q00", "Q10", "Q20"]
+    with pytest.raises(ValueError, match="ends at"):  # a source that repeats its page
+        list(update.keyset_pages(lambda cursor: update.keyset_page(df, None, 10), 10))
+    with pytest.raises(ValueError, match="more than 2"):
+        list(update.keyset_pages(lambda cursor: update.keyset_page(df, cursor, 5), 5, most=2))
+    assert list(update.keyset_pages(lambda cursor: update.keyset_page(df.where("false"), cursor, 5), 5)) == []
+
+
+def test_all_branches_of_an_entity(spark):
+    e = F.from_json(F.lit(json.dumps({"id": "Q1", "type": "item", "claims": {"P106": ids("Q36834", "Q5"), "P31": ids("Q7366"), "P136": [], "P1": ids("Q2")}})), ENTITY)
+    assert spark.range(1).select(branches(e["claims"]).alias("b")).first()["b"] == ["P106 Q36834", "P136", "P31 Q7366"]
+
+
+def change(qid, at, e):
+    return (qid, at, json.dumps(e))
+
+
+def changes_of(spark, found):
+    return spark.createDataFrame(found, "qid string, modified string, value string").withColumn("modified", F.to_timestamp("modified"))
+
+
+def test_sync_moves_the_cursor(spark, second):
+    t = second.tables
+    first = changes_of(spark, [change("Q60", "2026-01-02", entity("Q60", "New", {"P106": ids("Q177220")})), change("Q2", "2025-01-01", entity("Q2", "Old news", {"P106": ids("Q177220")}))])
+    with pytest.raises(ValueError, match="since when"):
+        sync(t, first)
+    same, decided = sync(t, first, "2026-01-01", dry_run=True)
+    assert same is t and rows(update.plan(decided)) == [("Q60", "Agent", "upserted")]
+    new, decided = sync(t, first, "2026-01-01")
+    assert rows(new["sync_state"]) == [("last_sync", "2026-01-02T00:00:00Z")] and rows(update.summary(decided)) == [("upserted", 1)]
+    assert new["album"] is t["album"] and new["track"] is t["track"]  # no such change
+    later = changes_of(spark, [change("Q61", "2026-01-03", entity("Q61", "Next", {"P106": ids("Q177220")})), change("Q62", "2026-01-01", entity("Q62", "Before", {"P106": ids("Q177220")}))])
+    newer, decided = sync(new, later)
+    assert rows(newer["sync_state"]) == [("last_sync", "2026-01-03T00:00:00Z")] and rows(decided.select("qid")) == [("Q61",)]
+    still, decided = sync(newer, later.where("false"))
+    assert still is newer and decided is None
+
+
+def test_layouts(spark, first, second):
+    for name, df in {"rejects": rejects(first.triaged), "genres": first.tables["genre"], "labels": second.labels, "enrichment": second.enriched}.items():
+        path = shared_folder(spark, name)
+        staging.write_layout(df, name, path)
+        again = staging.read_layout(spark, name, path)
+        assert again.exceptAll(df.select(*again.columns)).isEmpty() and again.count() == df.count() > 0
+
+
+def test_stream_counts_each_batch_once(spark, second):
+    root, landing, checkpoint = (shared_folder(spark, x) for x in ("snapshots", "landing", "checkpoint"))
+    publish(second.tables, root, 1)
+    batch = changes_of(spark, [change("Q60", "2026-01-02", entity("Q60", "New", {"P106": ids("Q177220")}))])
+    batch.write.json(landing)
+    start(read_changes(spark, landing), root, checkpoint).awaitTermination()
+    newest = latest(spark, root)
+    assert newest.version == 2 and newest.note["last_sync"] == "2026-01-02T00:00:00Z" and newest.tables["artist"].where("id = 'Q60'").count() == 1
+    assert newest.paths["album"] == f"{root}/v=1/album" and newest.paths["artist"] == f"{root}/v=2/artist"  # written again only where changed
+    apply_batch(root, lambda s: s.read.text(f"{checkpoint}/metadata").first()[0])(batch, 0)  # the same batch after a failure
+    assert latest(spark, root).version == 2
+    landing2 = shared_folder(spark, "landing")
+    unknown = changes_of(spark, [change("Q61", None, entity("Q61", "Timeless", {"P106": ids("Q177220")}))])
+    unknown.write.json(landing2)
+    start(read_changes(spark, landing2), root, shared_folder(spark, "checkpoint")).awaitTermination()  # batch 0 of another query
+    newest = latest(spark, root)
+    assert newest.version == 3 and newest.note["last_sync"] == "2026-01-02T00:00:00Z" and newest.tables["artist"].where("id = 'Q61'").count() == 1
