@@ -16,13 +16,13 @@ def claims_of(claims: Column, prop: str) -> Column:
 
 
 def values(claims: Column, prop: str) -> Column:
-    """Raw JSON of the values of a property, null where a claim has none."""
+    """The values of a property as variants, null where a claim has none."""
     return F.transform(claims_of(claims, prop), lambda c: F.when(c["mainsnak"]["snaktype"] == "value", c["mainsnak"]["datavalue"]["value"]))
 
 
 def field(value: Column, name: str) -> Column:
-    """A field of a value's JSON; null if the value is no object or lacks it."""
-    return F.get_json_object(value, f"$.{name}")
+    """A field of a value as text; null if the value is no object or lacks it."""
+    return F.try_variant_get(value, f"$.{name}", "string")
 
 
 def targets(claims: Column, prop: str, empty: bool = False) -> Column:

@@ -1,17 +1,12 @@
 """Schemas of entities, values, staged rows and catalog tables."""
 
-_CLAIM = "struct<mainsnak:struct<snaktype:string,datavalue:struct<value:string>>>"
+_CLAIM = "struct<mainsnak:struct<snaktype:string,datavalue:struct<value:variant>>>"
 
-#: A dump line. ``value`` stays raw JSON text: claims hold strings, coordinates and objects, which one struct cannot type.
+#: A dump line. A value is a variant: claims hold strings, coordinates and objects, which one struct cannot type, and a field is found without parsing again.
 ENTITY = (
     "id string, type string, labels map<string,struct<value:string>>, descriptions map<string,struct<value:string>>, "
     f"claims map<string,array<{_CLAIM}>>, sitelinks map<string,struct<title:string>>"
 )
-ENTITY_STRUCT = (
-    "struct<id:string,type:string,labels:map<string,struct<value:string>>,descriptions:map<string,struct<value:string>>,"
-    f"claims:map<string,array<{_CLAIM}>>,sitelinks:map<string,struct<title:string>>>"
-)
-
 REFS = "array<struct<qid:string,role:string>>"
 
 #: Primary keys of the catalog's tables.
