@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,12 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from entitymart.sources.storage import shared_folder, spread, stored
+from entitymart.sources import storage
+from entitymart.sources.storage import shared_folder, spread
 
-__all__ = ["arrow_schema", "batch_of", "fold", "maybe_one_of", "packed", "per_batch", "shared_folder", "ship", "slices", "stored", "table", "unpacked"]
+__all__ = ["arrow_schema", "batch_of", "field_of", "fold", "maybe_one_of", "packed", "per_batch", "shared_folder", "ship", "slices", "small_batches", "stored", "table", "unpacked"]
 
-#: Rows worked on at once. Spark bounds the bytes of what it hands to Python; this bounds what Python makes of it.
+#: Rows worked on at once, and rows that Spark hands to Python at once while a table is stored (it also bounds their bytes).
 BATCH_ROWS = 512
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits of a field that tells which rows need a join at all: 8 MB at most.
 MAX_BITS = 1 << 26
 
@@ -28,6 +31,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While a job runs in it, Spark hands small batches to Python; then the session has its own setting back."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
+
+
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """``storage.stored``, with small batches for the Python steps on the way."""
+    with small_batches(df.sparkSession):
+        return storage.stored(df, what)
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 4; remainder 2 is held out of every fit."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
@@ -38,6 +58,13 @@ def packed(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in without])
 
 
+def field_of(batch: pa.RecordBatch, struct: str, name: str) -> pa.Array:
+    """A field of a struct column, found as Spark finds columns: whatever the case."""
+    column = batch.column(struct)
+    names = [f.name.lower() for f in column.type]
+    return column.field(names.index(name.lower()))
+
+
 def unpacked(df: DataFrame, struct: str) -> list[Column]:
     """The fields of a struct as columns again."""
     return [F.col(struct).getField(c).alias(c) for c in df.schema[struct].dataType.names]

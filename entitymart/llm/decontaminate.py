@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from entitymart.llm.common import batch_of, packed, per_batch, shared_folder, ship, slices, unpacked
+from entitymart.llm.common import batch_of, field_of, packed, per_batch, shared_folder, ship, slices, unpacked
 
 WINDOW = 10
 #: Bytes of test text in one automaton (some 100 MB of nodes in a worker), automata that a worker keeps, and bytes of
@@ -163,14 +163,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
     blocks = blocks_of(items, window, block_bytes)
-    rows = docs.select(packed(docs, ("items", "spans", "n_words", "n_hit")).alias("row"), "text")
+    rows = docs.select(packed(docs, ("items", "spans", "n_words", "n_hit")).alias("row"))
     results = StructType.fromDDL(f"items array<long>, spans {SPANS}, n_words long, n_hit long")
     schema = StructType([rows.schema["row"], *results.fields])
     target = to_arrow_schema(schema)
 
     def run(batches):
         for some in chunks(slices(batches), CHUNK_BYTES if blocks.n > 1 else 0):
-            texts = [batch.column(1).to_pylist() for batch in some]
+            texts = [field_of(batch, "row", "text").to_pylist() for batch in some]
             found = iter(blocks.find([t for ts in texts for t in ts]))
             for batch, ts in zip(some, texts):
                 out = {"row": batch.column(0), "items": [], "spans": [], "n_words": [], "n_hit": []}

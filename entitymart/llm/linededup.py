@@ -58,18 +58,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     later = per_doc.select(F.col("doc_id").alias("id"), later_first(F.col("found")).alias("later")).where(F.size("later") > 0)
     later = stored(later, "linededup-later")
 
-    rows = docs.select(packed(docs, ("n_lines", "n_removed")).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    rows = docs.select(packed(docs, ("n_lines", "n_removed")).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    whole = F.col("row").getField(next(c for c in rows.schema["row"].dataType.names if c.lower() == "text"))
     touched = maybe_one_of(later.select("id"), F.col("id"))
-    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    lines = F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1
     n_lines = F.coalesce(lines, F.lit(0)).cast("long")
     stay = rows.where(~touched).select(*unpacked(rows, "row"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
 
     both = rows.where(touched).join(later.hint("merge"), "id", "left")
-    starts = F.transform(F.filter("later", lambda x: x["th"] == F.xxhash64("text")), lambda x: x["pos"])
+    starts = F.transform(F.filter("later", lambda x: x["th"] == F.xxhash64(whole)), lambda x: x["pos"])
     covered = F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))
-    split = both.withColumn("lines", F.when(F.col("later").isNotNull() & F.col("text").isNotNull(), F.split("text", "\n", -1)))
+    split = both.withColumn("lines", F.when(F.col("later").isNotNull() & whole.isNotNull(), F.split(whole, "\n", -1)))
     kept = split.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered))
-    text = F.when(F.col("kept").isNotNull(), F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("text"))
+    text = F.when(F.col("kept").isNotNull(), F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n")).otherwise(whole)
     columns = [text.alias(c) if c.lower() == "text" else x for c, x in zip(rows.schema["row"].dataType.names, unpacked(rows, "row"))]
     removed = F.coalesce(F.size("lines") - F.size("kept"), F.lit(0)).cast("long")
     return stay.unionAll(kept.select(*columns, n_lines.alias("n_lines"), removed.alias("n_removed")))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, batch_of, per_batch, shared_folder, ship, slices
+from entitymart.llm.common import arrow_schema, batch_of, per_batch, shared_folder, ship, slices, small_batches
 from entitymart.llm.tokens import default_path, encoder
 
 END = 1
@@ -43,7 +43,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end: i
             before += int(stops[-1])
 
     ship(docs.sparkSession)
-    ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(run, SCHEMA).write.options(**OPTIONS).orc(folder)
+    rows = ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(run, SCHEMA)
+    with small_batches(docs.sparkSession):
+        rows.write.options(**OPTIONS).orc(folder)
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from entitymart.llm.common import fold, maybe_one_of, packed, per_batch, stored, unpacked
+from entitymart.llm.common import field_of, fold, maybe_one_of, packed, per_batch, stored, unpacked
 
 #: Labelled documents of each class in the fit, parts they are dealt to, pairs drawn at a step, rounds over all parts, and the score at the threshold.
 PER_CLASS, PARTS, PAIRS, ROUNDS, CUT = 2000, 10, 5000, 15, 0.7
@@ -220,10 +220,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs``, under any name, plus held_out and quality_score, which replace columns so called. A null text counts as
     empty; repeated rows repeat; an empty table gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(packed(docs, ("quality_score", "held_out")).alias("row"), "text", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"))
+    rows = docs.select(packed(docs, ("quality_score", "held_out")).alias("row"), F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"))
 
     def make(batch):
-        return {"row": batch.column(0), "held_out": batch.column(2), "quality_score": shared.value.score(Features.of(batch.column(1).to_pylist()))}
+        found = shared.value.score(Features.of(field_of(batch, "row", "text").to_pylist()))
+        return {"row": batch.column(0), "held_out": batch.column(1), "quality_score": found}
 
     schema = StructType([rows.schema["row"], rows.schema["held_out"], StructField("quality_score", DoubleType())])
     return per_batch(rows, make, schema).select(*unpacked(rows, "row"), "held_out", "quality_score")
