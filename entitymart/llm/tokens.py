@@ -1,9 +1,8 @@
-"""Token ids of whole texts with a public tokenizer file, a chunk between white space at a time.
+"""Token ids of whole texts with a public tokenizer file, a piece at a time.
 
-The tokenizer drops white space and never lets a piece cross it, so the ids of a text are the ids of its chunks,
-joined, and those of a chunk are the ids of its pieces (letters, a digit, signs). Each worker keeps the ids of chunks and pieces that it
-has met (up to ``CACHE`` of them, then it starts anew); only new pieces go to the library. Texts with characters outside Latin script go to the library whole, since Unicode normalisation
-may join characters there.
+The tokenizer drops white space and makes its ids within pieces: runs of letters, single digits, runs of signs. So the ids of a text are those
+of its pieces, joined. Each worker keeps the ids of the pieces that it has met (up to ``CACHE`` of them, then it starts anew); only new ones go
+to the library. Texts with characters that lower-casing or Unicode normalisation treat otherwise go to the library whole.
 """
 
 from __future__ import annotations
@@ -13,13 +12,13 @@ import json
 import os
 import re
 import unicodedata
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
-#: Chunks and their pieces whose ids a worker keeps.
-CACHE = 800_000
-#: New chunks in one call of the library.
+#: Pieces whose ids a worker keeps.
+CACHE = 500_000
+#: New pieces in one call of the library.
 CALL = 4_000
 
 #: Small Latin letters beyond ASCII; capitals whose small form is elsewhere (as that of U+0181) do not count.
@@ -53,7 +52,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Empties the store: numbers of chunks, and where in ``pool`` the ids of each begin."""
+        """Empties the store: numbers of pieces, and where in ``pool`` the ids of each begin."""
         self.number: dict[str, int] = {}
         self.pool, self.filled = np.zeros(1 << 16, dtype="<u4"), 0
         self.start = np.zeros(CACHE + 1, dtype=np.int64)
@@ -62,57 +61,44 @@ class Encoder:
         tokenizer = self.tokenizer if whole else self.model
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def add(self, ids: np.ndarray, stops: np.ndarray, chunks: list[str]) -> None:
+    def add(self, ids: np.ndarray, stops: np.ndarray, pieces: list[str]) -> None:
         while self.filled + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         self.pool[self.filled : self.filled + len(ids)] = ids
         first = len(self.number)
-        self.start[first + 1 : first + 1 + len(chunks)] = self.filled + stops
-        self.number.update(zip(chunks, range(first, first + len(chunks))))
+        self.start[first + 1 : first + 1 + len(pieces)] = self.filled + stops
+        self.number.update(zip(pieces, range(first, first + len(pieces))))
         self.filled += len(ids)
 
     def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of known chunks one after the other, and where each one's end."""
+        """The ids of known pieces one after the other, and where each one's end."""
         begin, size = self.start[at], self.start[at + 1] - self.start[at]
         stop = np.cumsum(size)
         return self.pool[np.repeat(begin - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)], stop
 
-    def learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks from those of their pieces; new pieces go to the library, many in one call, where each ends at a token that
-        ends a word."""
-        mixed = [c for c in chunks if not c.isalpha()]
-        pieces = list(map(PIECE.findall, mixed))
-        known = self.number
-        new = {p for some in pieces for p in some if p not in known}
-        new.update(c for c in chunks if c.isalpha() and c not in known)
-        new = list(new)
-        for at in range(0, len(new), CALL):
-            some = new[at : at + CALL]
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces: many in one call of the library, where each ends at a token that ends a word."""
+        for at in range(0, len(pieces), CALL):
+            some = pieces[at : at + CALL]
             ids = self.library(" ".join(some), whole=False)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(some):  # a piece was split otherwise: one by one
                 each = list(map(self.library, some))
                 ids, stops = np.concatenate(each), np.cumsum(list(map(len, each)))
             self.add(ids, stops, some)
-        rest = [(c, some) for c, some in zip(mixed, pieces) if c not in known]
-        if rest:
-            at = np.array([known[p] for _, some in rest for p in some], dtype=np.int64)
-            ids, stop = self.gather(at)
-            self.add(ids, stop[np.cumsum([len(some) for _, some in rest]) - 1], [c for c, _ in rest])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; a null text has none."""
-        split = [
-            (text.lower().split() if PLAIN(text) and not ("<|" in text and any(s in text for s in self.specials)) else None) for text in (t or "" for t in texts)
-        ]
-        flat = [c for chunks in split if chunks for c in chunks]
+        whole = [not PLAIN(t) or ("<|" in t and any(s in t for s in self.specials)) for t in (t or "" for t in texts)]
+        split = [[] if w else PIECE.findall((t or "").lower()) for t, w in zip(texts, whole)]
+        flat = list(chain.from_iterable(split))
         at = np.fromiter(map(self.number.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
         unknown = np.flatnonzero(at < 0).tolist()
         new = list({flat[i] for i in unknown})
-        if len(self.number) + 3 * len(new) > CACHE:
+        if len(self.number) + len(new) > CACHE:
             self.forget()
             new, unknown = list(set(flat)), list(range(len(flat)))
-            if 3 * len(new) > CACHE:  # more than is ever kept: in halves
+            if len(new) > CACHE:  # more than is ever kept: in halves
                 half = len(texts) // 2
                 return self.encode(texts[:half]) + self.encode(texts[half:]) if half else [self.library(texts[0] or "").tobytes()]
         if new:
@@ -120,10 +106,8 @@ class Encoder:
             at[unknown] = [self.number[flat[i]] for i in unknown]
         ids, stop = self.gather(at)
         ids = ids.tobytes()
-        bounds = 4 * np.concatenate([[0], stop])[np.cumsum([0, *(len(c or ()) for c in split)])]
-        return [
-            self.library(t or "").tobytes() if chunks is None else ids[a:b] for t, chunks, a, b in zip(texts, split, bounds[:-1].tolist(), bounds[1:].tolist())
-        ]
+        bounds = (4 * np.concatenate([[0], stop])[np.cumsum([0, *map(len, split)])]).tolist()
+        return [self.library(t).tobytes() if w else ids[a:b] for t, w, a, b in zip(texts, whole, bounds, bounds[1:])]
 
 
 @functools.cache
