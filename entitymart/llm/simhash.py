@@ -15,6 +15,7 @@ that no key gathers more than ``PART`` rows.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,14 @@ def shingles(text: str | None, k: int) -> list[bytes]:
 
 
 def hashes(text: str | None, k: int) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(s, seed=SEED) for s in shingles(text, k)], dtype=np.uint64)
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles(text, k), repeat(SEED))), dtype=">u8").astype(np.uint64)
 
 
 def fingerprint(h: np.ndarray) -> int:
     """Bits that are set in over half of the hashes."""
     ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), 1 << 16):
-        ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    for at in range(0, len(h), 1 << 15):
+        ones += np.unpackbits(h[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.uint16)
     return int(np.packbits(2 * ones > len(h)).view(np.uint64)[0])
 
 
