@@ -149,7 +149,7 @@ def number(rows: DataFrame) -> DataFrame:
     """``nth`` over all tasks: pieces of one length are numbered from 0, task after task."""
     counts = rows.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = counts.select("length", "task", (F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")).alias("before"))
-    return rows.join(stored(before, "packing-before"), ["length", "task"]).withColumn("nth", F.col("nth") + F.col("before"))
+    return rows.join(stored(before, "packing-before").hint("merge"), ["length", "task"]).withColumn("nth", F.col("nth") + F.col("before"))
 
 
 def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None) -> DataFrame:
