@@ -6,8 +6,8 @@ goes through Spark's committer, so the index names the files of successful attem
 index rows, sorts them by file and offset, joins neighbours to ranges of up to ``RANGE_BYTES`` over gaps of up to ``GAP_BYTES`` and
 reads each range once.
 
-Equal payloads are found by digest on slim rows (id, digest); the pages themselves are shuffled once, to meet the id of the record they
-revisit.
+Equal payloads are found by digest on slim rows (id, digest), written once. Of the pages themselves only those travel, to meet the id of the
+record they revisit, that a bit field of bounded size does not know to be no revisits.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entitymart.llm.common import arrow_schema, batch_of, per_batch, shared_folder, ship, slices, stored
+from entitymart.llm.common import arrow_schema, batch_of, maybe_one_of, per_batch, shared_folder, ship, slices, stored
 
 RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
 #: Bytes after which a task begins another file.
@@ -37,9 +37,8 @@ INDEX = "file string, offset long, length long, url string, digest string, page_
 FOUND = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def base32_sha1(payload: Column) -> Column:
-    """SHA-1 of a binary or string column in upper-case base32, by built-in functions: 20 bits are 5 hex digits are 4 base32 digits."""
-    digest = F.sha1(payload.cast("binary"))
+def base32(digest: Column) -> Column:
+    """A SHA-1 in hexadecimal digits as upper-case base32, by built-in functions: 20 bits are 5 hex digits are 4 base32 digits."""
     parts = [F.lpad(F.conv(F.substring(digest, 5 * i + 1, 5), 16, 32), 4, "0") for i in range(8)]
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
@@ -47,11 +46,15 @@ def base32_sha1(payload: Column) -> Column:
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """page_id, url, html, digest, refers_to: of equal payloads of ``min_bytes`` or more, all but the largest page_id refer to it."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("html")))
+    rows = rows.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("digest", base32(F.col("digest")))
     slim = rows.where((F.octet_length("html") >= min_bytes) & F.col("page_id").isNotNull()).select("page_id", "digest")
+    slim = stored(slim, "warc-digests")
     groups = stored(slim.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
     mapping = slim.join(groups.hint("merge"), "digest").where("page_id < last").groupBy("page_id", "digest").agg(F.max("last").alias("refers_to"))
-    return rows.join(stored(mapping, "warc-revisits").hint("merge"), ["page_id", "digest"], "left")
+    mapping = stored(mapping, "warc-revisits")
+    maybe = maybe_one_of(stored(mapping.select("page_id").distinct(), "warc-revisit-ids"), F.col("page_id"))
+    stay = rows.where(~maybe).withColumn("refers_to", F.lit(None).cast("long"))
+    return stay.unionByName(rows.where(maybe).join(mapping.hint("merge"), ["page_id", "digest"], "left"))
 
 
 def record(page_id, url, html: str, digest: str, refers_to) -> bytes:
@@ -156,7 +159,8 @@ def read_records(index: DataFrame) -> DataFrame:
 
 
 def verified(records: DataFrame) -> DataFrame:
-    """Checks each response's payload against its stated size and digest, which are taken anew from the bytes read, and drops the payload."""
+    """Checks each response's payload against its stated size and digest, which are taken anew from the bytes read, and drops the payload. A
+    revisit stores none: its digest is that of the record it names, since both were grouped by it."""
 
     def make(batch):
         rows = batch.to_pylist()
