@@ -10,7 +10,7 @@ Groups of the tree and texts of one fingerprint are bands like the others; bands
 candidates are searched from one text to the next: what is reached leaves the rest, so a large group of near copies costs few searches and
 returns members, not pairs.
 
-A band of over ``GROUP`` candidates is dealt to blocks, each of which returns its groups and its stars: a text and those that the search reached
+A band whose candidates have over ``GROUP`` shingles is dealt to blocks, each of which returns its groups and its stars: a text and those that the search reached
 from it. Only the heads of stars meet across blocks. Jaccard distance is a metric, so two stars can hold a link only if their heads are no
 further apart than the limit and both stars' reaches; stars that the heads' own links have already joined need nothing more, and the members
 of the others, few among near copies, are compared. No link is lost, and a large group of near copies sends each text once and its heads once more.
@@ -27,7 +27,9 @@ from entitymart.llm import simhash
 from entitymart.llm.common import arrow_schema, batch_of, maybe_one_of, packed, per_batch, ship, stored, unpacked
 
 SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS, GROUP = 20, 5, 1000
+BANDS, ROWS = 20, 5
+#: Shingles whose sets are compared in one task (8 bytes each).
+GROUP = 1 << 20
 KEY = "doc_id long, text_hash long"
 _MULTIPLY = np.random.default_rng(11).integers(0, 1 << 63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -36,8 +38,7 @@ def bands(h: np.ndarray) -> np.ndarray:
     """A key for each band of a shingle set."""
     least = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
     for at in range(0, len(h), 2048):
-        x = h[at : at + 2048, None] * _MULTIPLY[None, :]
-        least = np.minimum(least, (x ^ x >> np.uint64(29)).min(axis=0))
+        least = np.minimum(least, np.multiply.outer(_MULTIPLY, h[at : at + 2048]).min(axis=1))
     key = np.arange(BANDS, dtype=np.uint64)
     for row in least.reshape(BANDS, ROWS).T:
         key = (key ^ row) * np.uint64(0x9E3779B97F4A7C15)
@@ -51,19 +52,20 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, text_hash, fp, same, bands), stored; ``same`` is a hash of the shingle set. Texts without words have no bands."""
+    """(doc_id, text_hash, fp, same, size, bands), stored; ``same`` is a hash of the shingle set. Texts without words have no bands."""
 
     def make(batch):
-        fps, same, keys = [], [], []
+        fps, same, size, keys = [], [], [], []
         for text in batch.column(2).to_pylist():
             h = simhash.hashes(text, k)
             fps.append(simhash.signed(simhash.fingerprint(h)))
             h = np.unique(h)
             same.append(simhash.signed(simhash.xxhash.xxh64_intdigest(h.tobytes())))
+            size.append(len(h))
             keys.append(bands(h).tolist() if len(h) else [])
-        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "fp": fps, "same": same, "bands": keys}
+        return {"doc_id": batch.column(0), "text_hash": batch.column(1), "fp": fps, "same": same, "size": size, "bands": keys}
 
-    return stored(per_batch(keyed(docs), make, f"{KEY}, fp long, same long, bands array<long>"), "neardup-sketches")
+    return stored(per_batch(keyed(docs), make, f"{KEY}, fp long, same long, size long, bands array<long>"), "neardup-sketches")
 
 
 def point() -> Column:
@@ -171,7 +173,7 @@ def names(t: pa.Table, n: int, what: str) -> np.ndarray:
 
 
 def by_group(rows: DataFrame, sets: DataFrame, keys: tuple[str, str], work, schema: str) -> DataFrame:
-    """``work(table, sets)`` for the rows that agree in ``keys``, with their shingle sets; it gives tables of columns by name."""
+    """``work(table, sets)`` for the rows that agree in ``keys``, with their shingle sets (point, set; rows may repeat); it gives tables of columns by name."""
     target = arrow_schema(schema)
     carried = [c for c in rows.columns if c not in keys]
 
@@ -183,12 +185,17 @@ def by_group(rows: DataFrame, sets: DataFrame, keys: tuple[str, str], work, sche
                     yield batch_of({c: out.get(c, pa.nulls(n)) for c in target.names}, target)
 
     ship(rows.sparkSession)
-    dealt = rows.join(sets, "point").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = rows.join(sets.dropDuplicates(["point"]), "point").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.select(*keys, *carried, "set").mapInArrow(run, schema)
 
 
+def of_few(sets: DataFrame, rows: DataFrame) -> DataFrame:
+    """The sets that ``rows`` may ask for."""
+    return sets.where(maybe_one_of(stored(rows.select("point").distinct(), "neardup-points"), F.col("point")))
+
+
 def dealt_pairs(n: Column, key: Column) -> Column:
-    """The pairs of blocks, of ``GROUP`` members each, that a member of a group of ``n`` goes to: all that hold its own block."""
+    """The pairs of blocks, of ``GROUP`` shingles each, that a member of a group of ``n`` goes to: all that hold its own block."""
     blocks = F.ceil(n / GROUP)
     own = F.pmod(F.xxhash64(key), blocks)
     other = F.sequence(F.lit(0).cast("long"), blocks - 1)
@@ -197,7 +204,7 @@ def dealt_pairs(n: Column, key: Column) -> Column:
     )
 
 
-STARS = f"{simhash.MEMBERS}, star long, block long, far double, head boolean, home long"
+STARS = f"{simhash.MEMBERS}, star long, block long, far double, size long, head boolean, home long"
 _MEMBERS = ["fp", "gid", "part", "parts"]
 
 
@@ -213,36 +220,37 @@ def search_bands(asked: DataFrame, sets: DataFrame, similarity: float) -> DataFr
         if t.column("many")[0].as_py():
             yield {
                 "fp": points.view(np.int64), "gid": ids[label], "star": ids[star], "block": t.column("block").to_numpy(), "far": far,
-                "head": star == np.arange(len(star)), "home": t.column("band").to_numpy(),
+                "size": list(map(len, own)), "head": star == np.arange(len(star)), "home": t.column("band").to_numpy(),
             }
 
     first = stored(by_group(asked, sets, ("band", "block"), in_block, STARS), "neardup-blocks")
     found = first.where("star is null").select(*_MEMBERS)
-    stars = first.where("star is not null").select(F.col("fp").alias("point"), "gid", "star", "block", "far", "head", F.col("home").alias("band"))
+    stars = first.where("star is not null").select(F.col("fp").alias("point"), "gid", "star", "block", "far", "size", "head", F.col("home").alias("band"))
     if stars.isEmpty():
         return found
 
-    reach = stars.groupBy("band", "star").agg(F.max("far").alias("reach"), F.count("*").alias("size"))
+    reach = stars.groupBy("band", "star").agg(F.max("far").alias("reach"), F.sum("size").alias("weight"))
     heads = stars.where("head").drop("far", "head").join(reach, ["band", "star"])
-    n = heads.groupBy("band").agg(F.count("*").alias("n"))
-    met = heads.join(n, "band").select("band", "star", "gid", "block", "point", "reach", "size", F.explode(dealt_pairs(F.col("n"), F.col("star"))).alias("pair"))
+    n = heads.groupBy("band").agg(F.sum("size").alias("n"))
+    pairs = F.explode(dealt_pairs(F.col("n"), F.col("star"))).alias("pair")
+    met = stored(heads.join(n, "band").select("band", "star", "gid", "block", "point", "reach", "weight", pairs), "neardup-met")
 
     def of_heads(t, own):
-        points, star, size = t.column("point").to_numpy().view(np.uint64), t.column("star").to_numpy(), t.column("size").to_numpy()
+        points, star, size = t.column("point").to_numpy().view(np.uint64), t.column("star").to_numpy(), t.column("weight").to_numpy()
         label, maybe = heads_joined(own, t.column("gid").to_numpy(), t.column("block").to_numpy(), t.column("reach").to_numpy(), similarity)
         out = simhash.member_rows(0, points, label)
         yield out | {"gid": names(t, len(points), "heads")[out["gid"]]}
         pairs = [(i, j) if size[i] >= size[j] else (j, i) for i, j in maybe]
         yield {"home": [star[i] for i, _ in pairs], "star": [star[j] for _, j in pairs]}
 
-    second = stored(by_group(met, sets, ("band", "pair"), of_heads, STARS), "neardup-heads")
+    second = stored(by_group(met, of_few(sets, met), ("band", "pair"), of_heads, STARS), "neardup-heads")
     found = found.unionByName(second.where("home is null").select(*_MEMBERS))
     open_ = stored(second.where("home is not null").select("home", "star").distinct(), "neardup-open")
     if open_.isEmpty():
         return found
 
-    visits = open_.join(stars.select("star", "point"), "star").select("home", "point").distinct()
-    chunks = visits.groupBy("home").agg(F.ceil(F.count("*") / GROUP).alias("chunks"))
+    visits = open_.join(stars.select("star", "point", "size"), "star").select("home", "point", "size").distinct()
+    chunks = visits.groupBy("home").agg(F.ceil(F.sum("size") / GROUP).alias("chunks"))
     visitors = visits.join(chunks, "home").select("home", F.pmod(F.xxhash64("point"), F.col("chunks")).alias("chunk"), "point")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
     own_rows = stars.select(F.col("star").alias("home"), "point").join(chunks, "home").select("home", every, "point")
@@ -252,29 +260,30 @@ def search_bands(asked: DataFrame, sets: DataFrame, similarity: float) -> DataFr
         out = simhash.member_rows(0, points, linked(own, similarity)[0])
         yield out | {"gid": names(t, len(points), "across")[out["gid"]]}
 
-    third = by_group(visitors.unionByName(own_rows).distinct(), sets, ("home", "chunk"), across, simhash.MEMBERS)
-    return found.unionByName(stored(third, "neardup-across"))
+    both = stored(visitors.unionByName(own_rows).distinct(), "neardup-visits")
+    return found.unionByName(stored(by_group(both, of_few(sets, both), ("home", "chunk"), across, simhash.MEMBERS), "neardup-across"))
 
 
 def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float) -> DataFrame:
     """Groups of points (rows of ``simhash.MEMBERS``, with ``point`` as fp) that shingle sets of at least ``similarity`` join."""
     # One document stands for all of the same shingles.
-    least = rows.where(F.size("bands") > 0).groupBy("fp", "same").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"))
-    texts = stored(least.select("fp", "same", "least.*", "bands"), "neardup-texts")
+    first = lambda c: F.first(c).alias(c)
+    least = rows.where(F.size("bands") > 0).groupBy("fp", "same").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), first("size"), first("bands"))
+    texts = stored(least.select("fp", "same", "size", "least.*", "bands"), "neardup-texts")
     near = stored(simhash.vantage_links(stored(texts.select("fp").distinct(), "neardup-fps")), "neardup-near")
     key = ["doc_id", "text_hash"]
-    columns = ["fp", "same", *key]
+    columns = ["fp", "same", "size", *key]
     each = texts.select(*columns, F.explode(F.concat("bands", F.array(F.xxhash64(F.lit("fp"), "fp")))).alias("band"))
     each = each.unionByName(texts.join(near.select("fp", "gid"), "fp").select(*columns, F.xxhash64(F.lit("tree"), "gid").alias("band")))
-    counts = each.groupBy("band").agg(F.count("*").alias("n"), F.min("same").alias("a"), F.sum(F.xxhash64("fp", "same") % (1 << 40)).alias("b")).where("n > 1")
-    chosen = counts.groupBy("n", "a", "b").agg(F.min("band").alias("band"))
-    blocks = F.ceil(F.col("n") / GROUP)
-    places = each.join(stored(chosen.select("band", "n"), "neardup-bands"), "band").select(
+    marks = [F.count("*").alias("n"), F.min("same").alias("a"), F.sum(F.xxhash64("fp", "same") % (1 << 40)).alias("b"), F.sum("size").alias("weight")]
+    chosen = each.groupBy("band").agg(*marks).where("n > 1").groupBy("n", "a", "b").agg(F.min("band").alias("band"), F.max("weight").alias("weight"))
+    blocks = F.ceil(F.col("weight") / GROUP)
+    places = each.join(stored(chosen.select("band", "weight"), "neardup-bands"), "band").select(
         "band", F.pmod(F.xxhash64("same"), blocks).alias("block"), (blocks > 1).alias("many"), point().alias("point"), *key
     )
     asked = stored(places, "neardup-asked")
     wanted = stored(asked.select("point", *key).distinct(), "neardup-wanted")
-    sets = stored(shingle_sets(keyed(docs).join(wanted, key), k), "neardup-sets").dropDuplicates(["point"])
+    sets = stored(shingle_sets(keyed(docs).join(wanted, key), k), "neardup-sets")
     return search_bands(asked.drop(*key), sets, similarity)
 
 

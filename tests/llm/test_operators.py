@@ -418,7 +418,7 @@ def plain_sets(sets, similarity):
 
 
 def found_in_band(spark, sets, group, monkeypatch):
-    monkeypatch.setattr(neardup, "GROUP", group)
+    monkeypatch.setattr(neardup, "GROUP", 60 * group)  # sets have some 60 members
     n, blocks = len(sets), -(-len(sets) // group)
     df = spark.createDataFrame([(7, i, np.array(sorted(x), dtype=np.uint64).tobytes()) for i, x in enumerate(sets)], "band long, point long, set binary")
     block = F.pmod(F.xxhash64("point"), F.lit(blocks)).alias("block")
@@ -469,7 +469,7 @@ def plain_near(rows, k=5, similarity=0.8):
 
 
 def test_one_of_near_copies_stays(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "GROUP", 8)  # so that bands are dealt to blocks
+    monkeypatch.setattr(neardup, "GROUP", 2000)  # so that bands are dealt to blocks
     rows = []
     for g in range(12):
         base = prose(250, 100 + g).split(" ")
@@ -481,7 +481,7 @@ def test_one_of_near_copies_stays(spark, monkeypatch):
     rows += [(5000 + i, prose(80, 700 + i)) for i in range(30)] + [(9000, None), (9001, ""), (9002, "one two"), (9003, "ONE two")]
     got = sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, rows)).collect())
     assert got == sorted(plain_near(rows))
-    monkeypatch.setattr(neardup, "GROUP", 1000)
+    monkeypatch.setattr(neardup, "GROUP", 1 << 20)
     assert sorted(r["doc_id"] for r in neardup.keep_one(docs(spark, rows)).collect()) == got
     assert neardup.keep_one(docs(spark, [(None, "a b"), (None, "a b"), (1, "a b")])).count() == 3
 
