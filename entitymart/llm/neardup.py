@@ -185,7 +185,7 @@ def by_group(rows: DataFrame, sets: DataFrame, keys: tuple[str, str], work, sche
                     yield batch_of({c: out.get(c, pa.nulls(n)) for c in target.names}, target)
 
     ship(rows.sparkSession)
-    dealt = rows.join(sets.dropDuplicates(["point"]), "point").repartition(*keys).sortWithinPartitions(*keys)
+    dealt = rows.hint("merge").join(sets.dropDuplicates(["point"]), "point").repartition(*keys).sortWithinPartitions(*keys)
     return dealt.select(*keys, *carried, "set").mapInArrow(run, schema)
 
 
@@ -283,7 +283,9 @@ def similar_groups(docs: DataFrame, rows: DataFrame, k: int, similarity: float)
     )
     asked = stored(places, "neardup-asked")
     wanted = stored(asked.select("point", *key).distinct(), "neardup-wanted")
-    sets = stored(shingle_sets(keyed(docs).join(wanted, key), k), "neardup-sets")
+    # Only texts that may be wanted travel; a merge join at every size, since neither side has a bound.
+    maybe = maybe_one_of(stored(wanted.select("doc_id").distinct(), "neardup-wanted-ids"), F.col("doc_id"))
+    sets = stored(shingle_sets(keyed(docs).where(maybe).join(wanted.hint("merge"), key), k), "neardup-sets")
     return search_bands(asked.drop(*key), sets, similarity)
 
 
