@@ -5,9 +5,9 @@ occurs again, in another document or later in the same one, is a later occurrenc
 (doc_id, place); the lines that later occurrences cover are removed, united per document. Texts of fewer than three lines have no window
 and stay. The content of a removed line always survives at its first place.
 
-The windows are written once as slim rows (two hashes, an id, a place). Shuffles: one aggregation of them, with partial sums before it, so a
-window that a third of all rows share sends one row a task; one join with the repeated windows only, which adaptive execution can split
-at a hot window; and one join that brings the covered lines to the documents. For the last, documents that a bit field of bounded size
+Shuffles: one aggregation of slim window rows (two hashes, an id), with partial sums before it, so a window that a third of all rows
+share sends one row a task; one join of the windows with the repeated ones only, which are stored first, so that adaptive execution can split a
+hot window's rows; and one join that brings the covered lines to the documents. For the last, documents that a bit field of bounded size
 knows to be untouched stay where they are; only the others travel. Joins are merge joins at every size: no side
 has a bound.
 """
@@ -50,7 +50,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     Rows with a null id or text keep their text and take no part; a null text has 0 lines. Repeated rows (same id and text) are
     one document and keep the same lines. Extra columns pass through under any name; columns called n_lines or n_removed are replaced.
     """
-    slim = stored(windows(docs), "linededup-windows")
+    slim = windows(docs)
     repeated = slim.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     repeated = stored(repeated, "linededup-repeated")
     found = slim.join(repeated.hint("merge"), ["h1", "h2"]).select("doc_id", F.struct("h1", "h2", "th", "pos", (F.col("doc_id") == F.col("first_id")).alias("own")).alias("w"))
