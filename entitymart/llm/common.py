@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import zipfile
@@ -18,7 +19,7 @@ from pyspark.sql.types import StructType
 from entitymart.sources import storage
 from entitymart.sources.storage import shared_folder, spread
 
-__all__ = ["arrow_schema", "batch_of", "field_of", "fold", "maybe_one_of", "packed", "per_batch", "shared_folder", "ship", "slices", "small_batches", "stored", "table", "unpacked"]
+__all__ = ["arrow_schema", "batch_of", "field_of", "fold", "maybe_one_of", "packed", "per_batch", "per_group_rows", "shared_folder", "ship", "slices", "small_batches", "stored", "table", "unpacked"]
 
 #: Rows worked on at once, and rows that Spark hands to Python at once while a table is stored (it also bounds their bytes).
 BATCH_ROWS = 512
@@ -134,3 +135,27 @@ def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str
             yield batch_of(make(batch), target)
 
     return df.mapInArrow(run, schema)
+
+
+def per_group_rows(df: DataFrame, run: Callable[[Iterator[tuple]], Iterator[dict]], schema: StructType, rows: int = BATCH_ROWS) -> DataFrame:
+    """Streams groups of rows that stand together by their first column through ``run``, which takes (key, iterator of the other columns' tuples) pairs and
+    gives rows as dicts. A group is never held: its rows are read on as ``run`` asks for them, and what it leaves is skipped."""
+    ship(df.sparkSession)
+    target = to_arrow_schema(schema)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in slices(batches, rows):
+            yield from zip(*[c.to_pylist() for c in batch.columns])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups = ((key, (x[1:] for x in own)) for key, own in itertools.groupby(lines(batches), key=lambda x: x[0]))
+        held: list[dict] = []
+        for row in run(groups):
+            held.append(row)
+            if len(held) == rows:
+                yield batch_of({f.name: [x[f.name] for x in held] for f in target}, target)
+                held = []
+        if held:
+            yield batch_of({f.name: [x[f.name] for x in held] for f in target}, target)
+
+    return df.mapInArrow(work, schema)
