@@ -20,7 +20,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -119,28 +119,23 @@ def prefixes(docs: DataFrame, levels: np.ndarray, k: int, percent: int) -> DataF
     return stored(per_batch(keyed(docs), make, "doc_id long, text_hash long, size long, point long, prefix array<long>"), "ngram-prefixes")
 
 
-def chosen_matches(size: Column, shared: Column, percent: int) -> Column:
-    """The number of matches to ask for: that of the least work. ``shared``: (pos, token, n, low) of the prefix shingles that others have too."""
-    most = F.least(F.lit(MOST), F.ceil(size * percent / 100)).cast("int")
-
-    def work(asks: Column) -> Column:
-        entries = F.aggregate(F.filter(shared, lambda x: x["asks"] <= asks), F.lit(0).cast("double"), lambda a, x: a + x["n"] - 1)
-        return F.struct((entries * (1 + size / asks)).alias("work"), asks.alias("asks"))
-
-    return F.array_min(F.transform(F.sequence(F.lit(1), most), work))["asks"]
-
-
 def members(points: DataFrame, percent: int) -> DataFrame:
-    """(point, size, asks, tokens, lows), stored: points that share shingles of their chosen prefixes, and the bands of those shingles."""
+    """(point, size, asks, tokens, lows), stored: points that share shingles of their chosen prefixes, and the bands of those shingles.
+
+    A point asks for the number of matches of the least work: entries met in the lists, and for each candidate that may be left, one of ``asks`` entries,
+    a whole set."""
     least = F.ceil(F.col("size") * percent / 100)
     asks = F.greatest(F.lit(1), F.col("pos") + 1 - (F.col("size") - least)).cast("int")
     each = points.select("point", "size", F.posexplode("prefix").alias("pos", "token")).select("point", "size", asks.alias("asks"), "token")
-    lists = each.groupBy("token").agg(F.count("*").alias("n"), F.min(F.xxhash64("point")).alias("low")).where("n > 1")
-    lists = stored(lists, "ngram-lists")
-    maybe = maybe_one_of(stored(lists.select("token"), "ngram-tokens"), F.col("token"))
-    met = each.where(maybe).hint("merge").join(lists, "token")
-    own = met.groupBy("point").agg(F.first("size").alias("size"), F.collect_list(F.struct("asks", "token", "n", "low")).alias("shared"))
-    chosen = own.withColumn("asks", chosen_matches(F.col("size"), F.col("shared"), percent))
+    repeated = stored(each.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "ngram-tokens")
+    some = each.where(maybe_one_of(repeated, F.col("token")))
+    lists = some.groupBy("token").agg(F.count("*").alias("n"), F.min(F.xxhash64("point")).alias("low")).where("n > 1")
+    met = some.hint("merge").join(stored(lists, "ngram-lists"), "token")
+    entries = [F.sum(F.when(F.col("asks") <= m, F.col("n") - 1).otherwise(0)).alias(f"entries{m}") for m in range(1, MOST + 1)]
+    own = met.groupBy("point").agg(F.first("size").alias("size"), *entries, F.collect_list(F.struct("asks", "token", "low")).alias("shared"))
+    most = F.least(F.lit(MOST), F.ceil(F.col("size") * percent / 100))
+    work = [F.when(most >= m, F.struct((F.col(f"entries{m}") * (1 + F.col("size") / m)).alias("work"), F.lit(m).alias("asks"))) for m in range(1, MOST + 1)]
+    chosen = own.select("point", "size", "shared", F.least(*work)["asks"].alias("asks"))
     kept = chosen.select("point", "size", "asks", F.expr("filter(shared, x -> x.asks <= asks)").alias("kept")).where("size(kept) > 0")
     return stored(kept.select("point", "size", "asks", F.col("kept.token").alias("tokens"), F.array_distinct("kept.low").alias("lows")), "ngram-members")
 
