@@ -50,15 +50,22 @@ def artist_member_of(staged: DataFrame, artist: DataFrame) -> DataFrame:
     return guarded(of_agents(staged, "member_of", "group_id"), "group_id", artist).select("artist_id", "group_id")
 
 
-def performers(staged: DataFrame, role: str, id_column: str, artist: DataFrame) -> DataFrame:
+def performer_refs(staged: DataFrame, role: str, id_column: str) -> DataFrame:
+    """(id, artist_id, role) of the works of a role, whether their performers are known or not."""
     refs = staged.where(F.col("role") == role).select(F.col("id").alias(id_column), F.explode("performers").alias("p"))
-    rows = refs.select(id_column, F.col("p.qid").alias("artist_id"), F.col("p.role").alias("role")).distinct()
-    return guarded(rows, "artist_id", artist).select(id_column, "artist_id", "role")
+    return refs.select(id_column, F.col("p.qid").alias("artist_id"), F.col("p.role").alias("role")).distinct()
+
+
+def performers(staged: DataFrame, role: str, id_column: str, artist: DataFrame) -> DataFrame:
+    return guarded(performer_refs(staged, role, id_column), "artist_id", artist).select(id_column, "artist_id", "role")
+
+
+def parent_refs(staged: DataFrame) -> DataFrame:
+    return staged.where("role = 'Track'").select(F.col("id").alias("track_id"), F.explode("parents").alias("album_id")).distinct()
 
 
 def track_album(staged: DataFrame, album: DataFrame) -> DataFrame:
-    rows = staged.where("role = 'Track'").select(F.col("id").alias("track_id"), F.explode("parents").alias("album_id")).distinct()
-    return guarded(rows, "album_id", album).select("track_id", "album_id", F.lit(None).cast("int").alias("track_number"))
+    return guarded(parent_refs(staged), "album_id", album).select("track_id", "album_id", F.lit(None).cast("int").alias("track_number"))
 
 
 def bootstrap_tables(staged: DataFrame, genre: DataFrame) -> dict[str, DataFrame]:

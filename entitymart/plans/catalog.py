@@ -60,21 +60,32 @@ def populate(found: DataFrame, t: dict[str, DataFrame]) -> Populated:
     return Populated(sets, labels, enriched, enrich.populate(t, labels, enriched))
 
 
+def with_retries(t: dict[str, DataFrame], changes: DataFrame) -> DataFrame:
+    """Changes, and failed ones of earlier batches that wait for an entity among them."""
+    again = update.tried_again(t, changes)
+    rows = changes.select("qid", "modified", "value", F.lit(0).alias("tries"))
+    return rows if again is None else rows.unionByName(again)
+
+
 def run_update(t: dict[str, DataFrame], changes: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Tables after a batch of changes (qid, modified, value), and what was decided for each entity."""
-    decided = stored(update.outcomes(changes, t["artist"]), "decided")
-    return update.upsert(t, stored(decided.where("outcome = 'upserted'").select("staged.*"), "batch")), decided
+    """Tables, and the state that updates carry on, after a batch of changes (qid, modified, value), and what was decided for each entity."""
+    decided = stored(update.decide(update.parse(with_retries(t, changes)), t), "decided")
+    return update.upsert(t, decided), decided
 
 
-def sync(t: dict[str, DataFrame], changes: DataFrame, since: str | None = None, dry_run: bool = False) -> tuple[dict[str, DataFrame], DataFrame | None]:
+def sync(
+    t: dict[str, DataFrame], changes: DataFrame, since: str | None = None, dry_run: bool = False, late: str | None = None
+) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """An update from where the last one ended, or from ``since`` (an ISO time), and the cursor's new place in ``sync_state``. Without either it
-    fails. A dry run only decides; without changes nothing is decided and nothing moves."""
+    fails. A dry run only decides; without changes nothing is decided and nothing moves. ``late`` (an interval, such as ``3 days``) reads that much again before the
+    cursor for changes that came late; those already seen change nothing."""
     since = since or update.cursor_of(t.get("sync_state"))
     if since is None:
         raise ValueError("no update has run on these tables: say since when")
-    recent = changes.where(F.col("modified") >= F.lit(since).cast("timestamp"))
+    first = F.lit(since).cast("timestamp") - F.expr(f"interval {late}") if late else F.lit(since).cast("timestamp")
+    recent = changes.where(F.col("modified") >= first)
     if dry_run:
-        return t, update.outcomes(recent, t["artist"])
+        return t, update.decide(update.parse(with_retries(t, recent)), t)
     cursor = stored(update.cursor_after(recent), "cursor")
     if cursor.isEmpty():
         return t, None

@@ -28,6 +28,16 @@ KEYS = {
     "record_label": ["id"],
 }
 
+#: What updates carry from batch to batch, beside the catalog: the change that each entity's row in a role comes from, and each label that an update brought;
+#: changes that failed; and references to entities that are not there yet (kind: the table that waits, or member for a failed change).
+STATE = {
+    "entity_version": "qid string, role string, modified timestamp, mark long, named boolean",
+    "label_version": "qid string, modified timestamp, mark long",
+    "retry": "qid string, modified timestamp, mark long, value string, reason string, tries int",
+    "waiting": "ref string, kind string, id string, role string",
+}
+STATE_KEYS = {"entity_version": ["qid", "role"], "label_version": ["qid"], "retry": ["qid", "mark"], "waiting": ["ref", "kind", "id", "role"]}
+
 #: (child, column, parent): every reference that must hold. Instruments are not guarded.
 FOREIGN_KEYS = [
     ("artist_genre", "artist_id", "artist"),

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import json
 import tempfile
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
@@ -41,33 +45,123 @@ def spread(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Snapshot:
+    """A published version. ``places``: for each table where each of its buckets lies; a bucket without rows has no place."""
+
+    spark: SparkSession
+    root: str
     version: int
-    tables: dict[str, DataFrame]
-    note: dict[str, str] = field(default_factory=dict)
-    paths: dict[str, str] = field(default_factory=dict)
+    note: dict[str, str]
+    buckets: int
+    schemas: dict[str, str]
+    places: dict[str, dict[int, str]]
+
+    @functools.cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self.part(name) for name in self.schemas}
+
+    @property
+    def paths(self) -> dict[str, str]:
+        """Where the tables of a snapshot of one bucket lie."""
+        return {name: at[0] for name, at in self.places.items() if self.buckets == 1 and at}
+
+    def part(self, name: str, buckets: set[int] | None = None) -> DataFrame:
+        """A table, or only the buckets asked for."""
+        schema = StructType.fromJson(json.loads(self.schemas[name]))
+        paths = [path for b, path in sorted(self.places[name].items()) if buckets is None or b in buckets]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+
+def bucket(key: Column | str, buckets: int) -> Column:
+    """The bucket of a row by its first key column: all rows of one entity, in whatever table, are in the bucket of one number."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def names_in(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    at, fs = folder(spark, path)
+    return [x for s in (fs.listStatus(at) if fs.exists(at) else []) if (x := s.getPath().getName()).startswith(prefix)]
+
 
+def write_buckets(df: DataFrame, path: str, buckets: int, touched: set[int] | None = None) -> dict[int, str]:
+    """Writes ``df`` by bucket and returns where those with rows are."""
+    if buckets == 1:
+        df.write.mode("overwrite").parquet(path)
+        return {0: path}
+    rows = df.withColumn("bucket", bucket(df.columns[0], buckets))
+    if touched is not None:
+        rows = rows.where(F.col("bucket").isin(*touched))
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return {int(x.removeprefix("bucket=")): f"{path}/{x}" for x in names_in(df.sparkSession, path, "bucket=")}
 
-def publish(tables: dict[str, DataFrame], root: str, version: int, note: dict[str, str] | None = None, before: Snapshot | None = None) -> dict[str, str]:
-    """Writes the tables of a version side by side, then the manifest; readers follow manifests only, so a version appears whole or not
-    at all. A table that is still the frame of ``before`` is not written again: the manifest names its old place. ``note`` (such as the sync
-    cursor) travels in the manifest. Returns where the tables are."""
-    spark = next(iter(tables.values())).sparkSession
-    paths = {}
+
+def _manifest(root: str, version: int) -> str:
+    return f"{root}/manifest/version={version}"
+
+
+def _sealed(spark: SparkSession, root: str) -> list[int]:
+    """Versions whose manifest is whole, oldest first; at most as many as are kept, and one that was not finished."""
+    found = sorted(int(x.removeprefix("version=")) for x in names_in(spark, f"{root}/manifest", "version="))
+    return [v for v in found if (at := folder(spark, f"{_manifest(root, v)}/_SUCCESS"))[1].exists(at[0])]
+
+
+def publish(
+    tables: dict[str, DataFrame], root: str, version: int, note: dict[str, str] | None = None, before: Snapshot | None = None,
+    buckets: int = 1, touched: dict[str, set[int]] | None = None, keep: int = 3,
+) -> dict[str, dict[int, str]]:
+    """Writes the tables of a version side by side, by bucket, then the manifest; readers follow manifests only, so a version appears whole or not at all.
+
+    A table that is still the frame of ``before`` is not written again: the manifest names its old place. Where ``touched`` names a table, its frame holds
+    at least these buckets, and only they are written; the others stay where they were, as do tables that ``tables`` lacks. ``note`` (such as the
+    sync cursor) travels in the manifest. What only versions older than the last ``keep`` refer to is deleted. Returns where the tables are."""
+    spark = next(iter(tables.values())).sparkSession if tables else before.spark
+    buckets, touched = before.buckets if before else buckets, touched or {}
+    places = {name: at for name, at in before.places.items()} if before else {}
+    schemas = dict(before.schemas) if before else {}
     for name, df in tables.items():
-        if before and df is before.tables.get(name):
-            paths[name] = before.paths[name]
-        else:
-            paths[name] = f"{root}/v={version}/{name}"
-            df.write.mode("overwrite").parquet(paths[name])
-    rows = [(version, name, path, k, v) for name, path in paths.items() for k, v in (note or {"": ""}).items()]
-    spark.createDataFrame(rows, "version int, name string, path string, key string, value string").coalesce(1).write.mode("append").parquet(f"{root}/manifest")
-    return paths
+        if before and name not in touched and df is before.tables.get(name):
+            continue
+        schemas[name] = df.schema.json()
+        some = touched.get(name)
+        kept = {b: path for b, path in places.get(name, {}).items() if some is not None and b not in some}
+        if some is None or some:
+            places[name] = kept | write_buckets(df, f"{root}/v={version}/{name}", buckets, some)
+    rows = [("place", name, b, path) for name, at in places.items() for b, path in at.items()]
+    rows += [("schema", name, buckets, schema) for name, schema in schemas.items()] + [("note", k, 0, v) for k, v in (note or {}).items()]
+    spark.createDataFrame(rows, "kind string, name string, number int, value string").coalesce(1).write.mode("overwrite").parquet(_manifest(root, version))
+    let_go(spark, root, keep)
+    return places
+
+
+def snapshot(spark: SparkSession, root: str, version: int) -> Snapshot:
+    rows = spark.read.parquet(_manifest(root, version)).collect()  # a row a bucket
+    schemas = {r["name"]: r["value"] for r in rows if r["kind"] == "schema"}
+    places: dict[str, dict[int, str]] = {name: {} for name in schemas}
+    for r in rows:
+        if r["kind"] == "place":
+            places[r["name"]][r["number"]] = r["value"]
+    note = {r["name"]: r["value"] for r in rows if r["kind"] == "note"}
+    return Snapshot(spark, root, version, note, max((r["number"] for r in rows if r["kind"] == "schema"), default=1), schemas, places)
 
 
 def latest(spark: SparkSession, root: str) -> Snapshot:
-    """The newest published version."""
-    rows = spark.read.parquet(f"{root}/manifest").collect()  # a few rows a version
-    version = max(r["version"] for r in rows)
-    paths = {r["name"]: r["path"] for r in rows if r["version"] == version}
-    note = {r["key"]: r["value"] for r in rows if r["version"] == version and r["key"]}
-    return Snapshot(version, {name: spark.read.parquet(path) for name, path in paths.items()}, note, paths)
+    """The newest published version: its own manifest is all that is read."""
+    return snapshot(spark, root, _sealed(spark, root)[-1])
+
+
+def let_go(spark: SparkSession, root: str, keep: int) -> None:
+    """Deletes what only older versions than the last ``keep`` refer to, and their manifests."""
+    sealed = _sealed(spark, root)
+    old, last = sealed[:-keep], sealed[-keep:]
+    if not old:
+        return
+    paths = lambda v: {path for at in snapshot(spark, root, v).places.values() for path in at.values()}
+    needed = set().union(*map(paths, last))
+    for v in old:
+        for path in [*(paths(v) - needed), _manifest(root, v)]:
+            at, fs = folder(spark, path)
+            fs.delete(at, True)
