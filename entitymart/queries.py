@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from entitymart.operators import audit, details, enrich, search, tables, update
 from entitymart.operators.merge import insert_or_ignore
-from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, sync
+from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, run_update, sync
 from entitymart.schemas import FOREIGN_KEYS, KEYS
 from entitymart.sources import feed, staging
 from entitymart.sources.dump import counters, rejects, scan
 from entitymart.sources.storage import latest, publish, shared_folder, stored
-from entitymart.streaming.updates import start
+from entitymart.streaming.updates import apply_batch, start
 
 ARTIST_TERM, ALBUM_TERM, TRACK_TERM, GENRE_TERM, ALL_TERM = "0001", "Order 1", "Item 1", "A", "er 1"
 SINCE, LONG_AGO = "1998-01-01", "0001-01-01"
+MIDDLE = "2024-01-16"
 PAGE = 5000
 FTS = {"artist": "machinery 000000012", "album": "order 12", "track": "item 12 1"}
 
@@ -119,6 +120,31 @@ def update_stream(c: Catalog) -> DataFrame:
     return texts(latest(c.spark, root).tables["artist"])
 
 
+def member_chain(c: Catalog) -> DataFrame:
+    """What becomes of agents that are members of each other in long chains."""
+    _, decided = run_update(c.tables, feed.chain_changes(c.spark, c.sf_dir)[0])
+    return decided.select("qid", "outcome")
+
+
+def update_retry(c: Catalog) -> DataFrame:
+    """Two batches: chains of which some fail, then groups that some of them wait for. Where each member of a chain stands, and how often it was tried."""
+    chains, groups = feed.chain_changes(c.spark, c.sf_dir)
+    first = {name: stored(df, name) for name, df in run_update(c.tables, chains)[0].items()}
+    new, _ = run_update(first, groups)
+    stands = new["artist"].where("id like 'QM%'").select(F.col("id").alias("qid"), F.lit("artist").alias("place"), F.lit(0).alias("tries"))
+    return stands.unionByName(new["retry"].select("qid", F.lit("retry").alias("place"), "tries"))
+
+
+def update_late(c: Catalog) -> DataFrame:
+    """Snapshots in buckets, and two batches in the wrong order: later changes first, then earlier ones."""
+    root = shared_folder(c.spark, "snapshots")
+    publish(c.tables, root, 1, buckets=16)
+    changes = stored(feed.late_changes(c.spark, c.sf_dir), "late-changes")
+    for number, some in enumerate((F.col("modified") >= MIDDLE, F.col("modified") < MIDDLE)):
+        apply_batch(root, lambda spark: "late")(changes.where(some), number)
+    return texts(latest(c.spark, root).tables["artist"])
+
+
 def fts(table: str, *columns: str) -> Callable[[Catalog], DataFrame]:
     def run(c: Catalog) -> DataFrame:
         index = stored(search.token_index(c.tables[table], list(columns)), "tokens")
@@ -240,6 +266,9 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "update_dry_run": lambda c: update.plan(sync(c.tables, c.changes, LONG_AGO, dry_run=True)[1]),
     "sync_state": lambda c: c.updated[0]["sync_state"],
     "update_stream": update_stream,
+    "member_chain": member_chain,
+    "update_retry": update_retry,
+    "update_late": update_late,
     "stage_roundtrip": stage_roundtrip,
     "flat_roundtrip": flat_roundtrip,
     "reject_file": layout("rejects", lambda c: rejects(c.first.triaged), "raw", "reason"),
@@ -336,7 +365,17 @@ fs AS (SELECT id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {k1 + 1}
 SELECT id, name, score FROM fd JOIN fs USING (id) ORDER BY coalesce(name = '{FTS[table]}', false) DESC, score DESC, name NULLS LAST, id LIMIT 100"""
 
 
+#: Chains of members: who names whom, and who leads to a group that is unknown before and after the second batch.
+_CHAINS = """, ch AS (SELECT 'QM' || k AS id, CASE WHEN k % 50 <> 49 THEN 'QM' || (k + 1) WHEN (k // 50) % 3 = 0 THEN 'QX' || (k // 50) WHEN (k // 50) % 3 = 2 THEN 'QM' || (k // 50 * 50) END AS grp FROM c0),
+b1(id) AS (SELECT id FROM ch WHERE grp IS NOT NULL AND grp NOT IN (SELECT id FROM ch) UNION SELECT ch.id FROM ch JOIN b1 ON ch.grp = b1.id),
+known AS (SELECT id FROM ch UNION ALL SELECT 'QX' || (k // 50) FROM c0 WHERE k % 50 = 49 AND (k // 50) % 6 = 0),
+b2(id) AS (SELECT id FROM ch WHERE grp IS NOT NULL AND grp NOT IN (SELECT id FROM known) UNION SELECT ch.id FROM ch JOIN b2 ON ch.grp = b2.id)"""
+
 _SELECT = {
+    "member_chain": _CHAINS + "SELECT id AS qid, CASE WHEN id IN (SELECT id FROM b1) THEN 'failed' ELSE 'upserted' END AS outcome FROM ch",
+    "update_retry": _CHAINS + "SELECT id AS qid, CASE WHEN id IN (SELECT id FROM b2) THEN 'retry' ELSE 'artist' END AS place, CAST(id IN (SELECT id FROM b2) AS INTEGER) AS tries FROM ch",
+    "update_late": """SELECT artist.id, coalesce(l.name, artist.name) AS name, description, artist_type, inclusion_reason, birth_date, death_date
+  FROM artist LEFT JOIN (SELECT id, c_name || ' ' || strftime(m, '%Y-%m-%d %H:%M:%S') AS name FROM uc) l ON l.id = artist.id""",
     "line_triage": """SELECT 2 + (SELECT count(*) FROM nation) + b + p + 1 + s + c + o + l AS processed, a + o + l AS filtered, b AS rejected, (SELECT count(*) FROM nation) + p + 1 + c + s - a AS excluded,
   CAST(2 AS BIGINT) AS brackets FROM (SELECT (SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0) AS b, (SELECT count(*) FROM l0) AS p, (SELECT s FROM ns) AS s, (SELECT n FROM nc) AS c,
   (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM lineitem) AS l, (SELECT count(*) FROM a0) AS a)""",
@@ -450,4 +489,4 @@ _SELECT = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: PRELUDE + sql for name, sql in _SELECT.items()}
+    return {name: (PRELUDE.replace("WITH", "WITH RECURSIVE", 1) if sql.startswith(_CHAINS) else PRELUDE) + sql for name, sql in _SELECT.items()}

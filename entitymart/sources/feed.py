@@ -161,3 +161,33 @@ def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .union(_orders(spark, sf_dir).select(qid("QO", F.col("o_orderkey")), "o_orderdate", _album(F.concat(_order_name(), F.lit(" rev")))))
         .union(lineitem.select(track, "l_shipdate", _track(F.concat(_item_name(), F.lit(" rev")))))
     )
+
+
+def late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(qid, modified, value): each event names its customer after its own time, so what stands tells which change counted."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    customers = _customers(spark, sf_dir)
+    touched = _counted(events, customers, "n_customers").select((F.col("user_id") % F.col("n_customers")).alias("c_custkey"), F.col("ts").alias("modified"))
+    named = F.concat("c_name", F.lit(" "), F.date_format("modified", "yyyy-MM-dd HH:mm:ss"))
+    agent = line(qid("QC", F.col("c_custkey")), named, _agent_claims([], []), F.col("c_mktsegment"))
+    return touched.join(customers, "c_custkey").select(qid("QC", F.col("c_custkey")).alias("qid"), "modified", agent.alias("value"))
+
+
+CHAIN = 50
+
+
+def chain_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers as new agents QM, each a member of the next, in chains of ``CHAIN``. A third of the chains end with an unknown group QX, a third with nobody,
+    a third in a circle. The second frame brings every other unknown group, a day later."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    k, block = F.col("c_custkey"), F.floor(F.col("c_custkey") / CHAIN)
+    last = F.when(block % 3 == 0, qid("QX", block)).when(block % 3 == 2, qid("QM", block * CHAIN))
+    group = F.when(k % CHAIN != CHAIN - 1, qid("QM", k + 1)).otherwise(last)
+    member = line(qid("QM", k), F.col("c_name"), claims(P106=[target(F.lit("Q639669"))], P463=[F.when(group.isNotNull(), target(group))]))
+    at = lambda day: F.lit(day).cast("timestamp").alias("modified")
+    ends = customer.where((k % CHAIN == CHAIN - 1) & (block % 6 == 0))
+    found = line(qid("QX", block), F.lit("Found"), claims(P31=[target(F.lit("Q215380"))]))
+    return (
+        customer.select(qid("QM", k).alias("qid"), at("2030-01-01"), member.alias("value")),
+        ends.select(qid("QX", block).alias("qid"), at("2030-01-02"), found.alias("value")),
+    )

@@ -155,17 +155,17 @@ def test_only_touched_buckets_are_written(spark, t):
 
 def test_buckets_in_any_order_and_versions_let_go(spark, t):
     results = []
-    for order in [(0, 1, 2, 3, 4), (4, 3, 2, 1, 0)]:
+    for order in [(2, 3), (3, 2)]:
         root = shared_folder(spark, "buckets")
         publish(t, root, 1, buckets=8)
         for number, i in enumerate(order):
             apply_batch(root, lambda s: "q", keep=2)(changes_of(spark, BATCHES[i]), number)
-            apply_batch(root, lambda s: "q", keep=2)(changes_of(spark, BATCHES[i]), number)  # once more after a failure
+        apply_batch(root, lambda s: "q", keep=2)(changes_of(spark, BATCHES[i]), number)  # once more after a failure
         newest = latest(spark, root)
-        assert newest.version == 6 and sorted(names_in(spark, f"{root}/manifest", "version")) == ["version=5", "version=6"]
-        there = {f"{root}/v={v}/{name}/{b}" for v in range(1, 7) for name in names_in(spark, f"{root}/v={v}", "") for b in names_in(spark, f"{root}/v={v}/{name}", "bucket=")}
+        assert newest.version == 3 and sorted(names_in(spark, f"{root}/manifest", "version")) == ["version=2", "version=3"]
+        there = {f"{root}/v={v}/{name}/{b}" for v in range(1, 4) for name in names_in(spark, f"{root}/v={v}", "") for b in names_in(spark, f"{root}/v={v}/{name}", "bucket=")}
         named = {path for at in newest.places.values() for path in at.values()}
-        assert named <= there and len(there) < 2 * len(named) + 80
+        assert named <= there and len(there) < 2 * len(named)
         results.append(catalog_rows(newest.tables))
         assert no_orphans(newest.tables)
     assert results[0] == results[1]
