@@ -24,6 +24,7 @@ from entitymart.sources.storage import stored
 
 ENTITY_PREFIX = "http://www.wikidata.org/entity/"
 CURSOR = "last_sync"
+OUTCOMES = ("upserted", "stale", "skipped", "failed")
 
 
 def decode_bindings(responses: DataFrame, prefix: str = ENTITY_PREFIX) -> DataFrame:

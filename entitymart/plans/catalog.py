@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from entitymart.operators import enrich, tables, update
@@ -12,7 +12,7 @@ from entitymart.operators.extract import enrichment, entry_columns, genre_entrie
 from entitymart.operators.merge import insert_or_replace, one_per_key
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import KEYS
-from entitymart.sources.dump import triage
+from entitymart.sources.dump import counted, triage
 from entitymart.sources.storage import stored
 
 
@@ -22,6 +22,8 @@ class Bootstrap:
     staged: DataFrame
     found: DataFrame
     tables: dict[str, DataFrame]
+    #: Lines by what became of them, counted in the pass itself.
+    counts: dict[str, int]
 
 
 def bootstrap(lines: DataFrame, profile: Profile = MUSIC) -> Bootstrap:
@@ -34,12 +36,13 @@ def bootstrap(lines: DataFrame, profile: Profile = MUSIC) -> Bootstrap:
         F.when(status == "filtered", F.struct(*staged_columns(entity, F.col("verdict.role"), F.col("verdict.reason")))).alias("staged"),
         F.when(status.isin("filtered", "excluded"), F.struct(*entry_columns(entity))).alias("entry"),
     )
-    triaged = stored(parsed, "triaged")
+    counts = Observation("triage")
+    triaged = stored(parsed.observe(counts, *counted()), "triaged")
     staged = triaged.where("status = 'filtered'").select("staged.*")
     found = triaged.where("status in ('filtered', 'excluded')").select("entry.*")
     met = found.join(tables.genre_ids(staged), "qid", "left_semi")
     genre = stored(one_per_key(genre_entries(met), KEYS["genre"]), "genre")
-    return Bootstrap(triaged, staged, found, tables.bootstrap_tables(staged, genre))
+    return Bootstrap(triaged, staged, found, tables.bootstrap_tables(staged, genre), counts.get)
 
 
 @dataclass

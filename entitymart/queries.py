@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitymart.operators import audit, details, enrich, search, tables, update
+from entitymart.operators.extract import entries, genre_entries, label_entries
 from entitymart.operators.merge import insert_or_ignore
 from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, run_update, sync
 from entitymart.schemas import FOREIGN_KEYS, KEYS
 from entitymart.sources import feed, staging
-from entitymart.sources.dump import counters, rejects, scan
+from entitymart.sources.dump import by_ids, rejects, scan
 from entitymart.sources.storage import latest, publish, shared_folder, stored
 from entitymart.streaming.updates import apply_batch, start
 
@@ -120,6 +121,30 @@ def update_stream(c: Catalog) -> DataFrame:
     return texts(latest(c.spark, root).tables["artist"])
 
 
+def artist_terms(c: Catalog) -> DataFrame:
+    """A term for every customer: whole names, parts, short ends, wildcards, and descriptions that many artists have."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    parts = [name, F.substring(name, 12, 20), F.concat(F.lit("%"), k.cast("string"), F.lit("_")), F.substring(name, 17, 20)]
+    term = F.col("c_mktsegment")
+    for i, part in enumerate(parts):
+        term = F.when(k % 5 == i, part).otherwise(term)
+    return c.spark.read.parquet(f"{c.sf_dir}/customer.parquet").select(term.alias("term"))
+
+
+def search_terms(c: Catalog) -> DataFrame:
+    return search.search_terms(c.tables["artist"], artist_terms(c), ["name", "description"], exact_first=True)
+
+
+def genre_rescan(c: Catalog) -> DataFrame:
+    """Names of genres from the raw lines, for the genres that staged rows refer to."""
+    return genre_entries(entries(by_ids(c.lines, tables.genre_ids(c.first.staged))))
+
+
+def label_rescan(c: Catalog) -> DataFrame:
+    """Labels from the raw lines, for all ids that the tables ask for."""
+    return label_entries(entries(by_ids(c.lines, enrich.wanted_ids(c.second.sets, c.second.enriched)))).dropDuplicates(["qid"])
+
+
 def member_chain(c: Catalog) -> DataFrame:
     """What becomes of agents that are members of each other in long chains."""
     _, decided = run_update(c.tables, feed.chain_changes(c.spark, c.sf_dir)[0])
@@ -205,7 +230,7 @@ def enriched(c: Catalog, kind: str, *columns: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
-    "line_triage": lambda c: counters(c.first.triaged),
+    "line_triage": lambda c: c.spark.createDataFrame([c.first.counts], ", ".join(f"{k} long" for k in c.first.counts)),
     "rejects": lambda c: rejects(c.first.triaged).select("raw", "reason"),
     "classify": lambda c: c.first.triaged.where("verdict is not null").select("staged.id", "verdict.role", "verdict.reason"),
     "reason_distribution": lambda c: audit.reasons(c.first.tables["artist"]),
@@ -266,6 +291,9 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "update_dry_run": lambda c: update.plan(sync(c.tables, c.changes, LONG_AGO, dry_run=True)[1]),
     "sync_state": lambda c: c.updated[0]["sync_state"],
     "update_stream": update_stream,
+    "search_terms": search_terms,
+    "genre_rescan": genre_rescan,
+    "label_rescan": label_rescan,
     "member_chain": member_chain,
     "update_retry": update_retry,
     "update_late": update_late,
@@ -376,6 +404,11 @@ _SELECT = {
     "update_retry": _CHAINS + "SELECT id AS qid, CASE WHEN id IN (SELECT id FROM b2) THEN 'retry' ELSE 'artist' END AS place, CAST(id IN (SELECT id FROM b2) AS INTEGER) AS tries FROM ch",
     "update_late": """SELECT artist.id, coalesce(l.name, artist.name) AS name, description, artist_type, inclusion_reason, birth_date, death_date
   FROM artist LEFT JOIN (SELECT id, c_name || ' ' || strftime(m, '%Y-%m-%d %H:%M:%S') AS name FROM uc) l ON l.id = artist.id""",
+    "search_terms": """, st AS (SELECT DISTINCT CASE k % 5 WHEN 0 THEN c_name WHEN 1 THEN substr(c_name, 12) WHEN 2 THEN '%' || k || '_' WHEN 3 THEN substr(c_name, 17) ELSE seg END AS term FROM c0)
+SELECT term, CAST(place AS INTEGER) AS place, id, name FROM (SELECT term, id, name, row_number() OVER (PARTITION BY term ORDER BY coalesce(name = term, false) DESC, name ASC NULLS LAST, id) AS place
+  FROM artist JOIN st ON name LIKE '%' || term || '%' OR description LIKE '%' || term || '%') WHERE place <= 100""",
+    "genre_rescan": "SELECT * FROM genre",
+    "label_rescan": "SELECT * FROM qid_label",
     "line_triage": """SELECT 2 + (SELECT count(*) FROM nation) + b + p + 1 + s + c + o + l AS processed, a + o + l AS filtered, b AS rejected, (SELECT count(*) FROM nation) + p + 1 + c + s - a AS excluded,
   CAST(2 AS BIGINT) AS brackets FROM (SELECT (SELECT count(*) FROM nation WHERE n_nationkey % 5 = 0) AS b, (SELECT count(*) FROM l0) AS p, (SELECT s FROM ns) AS s, (SELECT n FROM nc) AS c,
   (SELECT count(*) FROM orders) AS o, (SELECT count(*) FROM lineitem) AS l, (SELECT count(*) FROM a0) AS a)""",

@@ -6,10 +6,11 @@ Decoding parses each line once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entitymart.functions.claims import trimmed
+from entitymart.operators.bitfilter import may_be_in
 from entitymart.operators.classify import classify
 from entitymart.profiles import MUSIC, Profile
 from entitymart.schemas import ENTITY
@@ -64,20 +65,30 @@ def rejects(triaged: DataFrame) -> DataFrame:
     return triaged.where("status = 'rejected'").select("file", F.col("value").alias("raw"), "reason")
 
 
-def counters(triaged: DataFrame) -> DataFrame:
-    """processed counts all lines but blank ones."""
+def counted() -> list[Column]:
+    """The counters of triaged lines; processed counts all lines but blank ones."""
     is_ = lambda s: F.count_if(F.col("status") == s)
-    return triaged.agg(
+    return [
         F.count_if(F.col("status") != "blank").alias("processed"), is_("filtered").alias("filtered"), is_("rejected").alias("rejected"),
         is_("excluded").alias("excluded"), is_("bracket").alias("brackets"),
-    )
+    ]
 
 
-def by_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """Entities of a dump whose id is in ``ids`` (column qid). The id is cut out of the line cheaply, so only hits are parsed; lines
-    where that finds nothing are parsed to see."""
-    body = F.rtrim(trimmed(F.col("value")), F.lit(","))
+def counters(triaged: DataFrame) -> DataFrame:
+    return triaged.agg(*counted())
+
+
+def id_in(line: Column) -> Column:
+    """The entity's id, cut out of a line; a line that does not begin with it is parsed for it."""
+    body = F.rtrim(trimmed(line), F.lit(","))
     quick = F.regexp_extract(body, r'^\{(?:"type":"\w+",)?"id":"([^"\\]+)"', 1)
-    marked = lines.select("file", "value", F.when(quick != "", quick).otherwise(F.get_json_object(body, "$.id")).alias("qid"))
-    hits = marked.where("qid is not null").join(ids.select("qid").distinct(), "qid", "left_semi")
+    return F.when(quick != "", quick).otherwise(F.get_json_object(body, "$.id"))
+
+
+def by_ids(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """Entities of a dump whose id is in ``ids`` (column qid). Ids are cut out of the lines and tested against a bounded filter in the scan, so few other
+    lines travel to the exact join, and only hits are parsed."""
+    marked = lines.select("file", "value", id_in(F.col("value")).alias("qid"))
+    near = marked.where(may_be_in(ids.select("qid"), F.col("qid")))
+    hits = near.join(ids.select("qid").distinct(), "qid", "left_semi")
     return decode(hits).where("entity is not null and entity.broken is null and entity.type is not null").select("qid", "entity")
