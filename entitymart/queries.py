@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entitymart.operators import audit, details, enrich, search, tables, update
+from entitymart.operators import audit, details, enrich, pages, search, tables, tokenindex, update
 from entitymart.operators.extract import entries, genre_entries, label_entries
 from entitymart.operators.merge import insert_or_ignore
 from entitymart.plans.catalog import Bootstrap, Populated, bootstrap, populate, run_update, sync
@@ -189,12 +189,14 @@ def layout(name: str, make: Callable[[Catalog], DataFrame], *columns: str) -> Ca
     return run
 
 
-def keyset_pages(c: Catalog) -> DataFrame:
-    """A row for each page of all artists."""
-    ids = c.tables["artist"].select("id")
-    pages = update.keyset_pages(lambda cursor: update.keyset_page(ids, cursor, PAGE), PAGE)
-    found = [(i, rows[0]["id"], rows[-1]["id"], len(rows)) for i, rows in enumerate(pages)]
-    return c.spark.createDataFrame(found, "page int, first string, last string, n int")
+def fts_terms(c: Catalog) -> DataFrame:
+    """Many queries against an index that was built before the updates and has followed them."""
+    columns, after = ["name", "description"], c.updated[0]["artist"]
+    index = tokenindex.build(c.tables["artist"], columns, shared_folder(c.spark, "token-index"), buckets=16)
+    index = tokenindex.bring_up_to_date(index, after, tokenindex.changed(c.tables["artist"], after), columns)
+    number = F.substring("c_name", 10, 9)
+    query = F.when(F.col("c_custkey") % 50 == 0, F.concat("c_mktsegment", F.lit(" "), number)).otherwise(number)
+    return tokenindex.search_many(index, after, c.spark.read.parquet(f"{c.sf_dir}/customer.parquet").select(query.alias("query")))
 
 
 def dangling(c: Catalog) -> DataFrame:
@@ -279,7 +281,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "resolution_counts": lambda c: audit.resolution(c.tables),
     "modified_since": lambda c: update.modified_since(c.changes, F.lit(SINCE).cast("timestamp")),
     "branch_audit": lambda c: update.matched_branches(c.changes, F.lit(SINCE).cast("timestamp")).groupBy("branch").agg(F.count("*").alias("n")),
-    "keyset_pages": keyset_pages,
+    "keyset_pages": lambda c: pages.borders(c.tables["artist"], PAGE),
     "keyset_page": lambda c: update.keyset_page(c.tables["artist"].select("id"), "QC5", 50),
     "decode_bindings": bindings,
     "decode_envelope": envelopes,
@@ -309,6 +311,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "fts_artist": fts("artist", "name", "description"),
     "fts_album": fts("album", "name"),
     "fts_track": fts("track", "name"),
+    "fts_terms": fts_terms,
 }
 
 
@@ -501,6 +504,16 @@ SELECT term, CAST(place AS INTEGER) AS place, id, name FROM (SELECT term, id, na
     "fts_artist": _bm25("artist", "name", "description"),
     "fts_album": _bm25("album", "name"),
     "fts_track": _bm25("track", "name"),
+    "fts_terms": r""", fd AS (SELECT id, name, list_filter(string_split_regex(lower(concat_ws(' ', name, description)), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM uartist),
+fn AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM fd),
+ft AS (SELECT id, len(w) AS len, unnest(w) AS token FROM fd),
+fw AS (SELECT DISTINCT CASE WHEN k % 50 = 0 THEN seg || ' ' || substr(c_name, 10) ELSE substr(c_name, 10) END AS query FROM c0),
+fq AS (SELECT DISTINCT query, unnest(string_split_regex(lower(query), '[^\p{L}\p{N}]+')) AS token FROM fw),
+fh AS (SELECT id, len, token, count(*) AS tf FROM ft SEMI JOIN fq USING (token) GROUP BY ALL),
+fc AS (SELECT token, count(*) AS df FROM fh GROUP BY 1),
+fs AS (SELECT query, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 9) AS score FROM fq JOIN fh USING (token) JOIN fc USING (token), fn GROUP BY 1, 2)
+SELECT query, CAST(place AS INTEGER) AS place, id, name, score FROM (SELECT query, id, name, score, row_number() OVER (PARTITION BY query ORDER BY coalesce(name = query, false) DESC, score DESC, name NULLS LAST, id) AS place
+  FROM fd JOIN fs USING (id)) WHERE place <= 100""",
     "upsert_agent": "SELECT * FROM uartist",
     "upsert_album": "SELECT o0.id, CASE WHEN o0.k % 11 <> 0 THEN album.name || ' rev' ELSE album.name END AS name, album.release_date, record_label FROM album JOIN o0 ON o0.id = album.id",
     "upsert_track": "SELECT id, name || ' rev' AS name, duration_seconds FROM track",
