@@ -22,7 +22,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegralType, StructField, StructType
 
 from entitymart.llm.common import field_of, fold, maybe_one_of, packed, per_batch, stored, unpacked
 
@@ -184,7 +184,10 @@ def cut_after(scores: DataFrame, n: int) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """``labels``: doc_id and quality 0 or 1; rows with other or null values, or of held-out ids, teach nothing. Repeated rows of a label
-    count once; a document with both labels is in both classes. No label of one class: a model that rejects nothing."""
+    count once; a document with both labels is in both classes. No label of one class: a model that rejects nothing. Ids of both tables meet as whole numbers
+    where both are, else as text."""
+    whole = all(isinstance(x.schema["doc_id"].dataType, IntegralType) for x in (docs, labels))
+    docs, labels = (x.withColumn("doc_id", F.col("doc_id").cast("long" if whole else "string")) for x in (docs.select("doc_id", "text"), labels.select("doc_id", "quality")))
     known = labels.select(F.col("doc_id").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 2)
     ).distinct()
