@@ -65,8 +65,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     n_lines = F.coalesce(lines, F.lit(0)).cast("long")
     stay = rows.where(~touched).select(*unpacked(rows, "row"), n_lines.alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
 
-    both = rows.where(touched).join(later.hint("merge"), "id", "left")
-    starts = F.transform(F.filter("later", lambda x: x["th"] == F.xxhash64(whole)), lambda x: x["pos"])
+    # The hash is a column from below the join: within the lambda it would be taken once for each repeated window.
+    both = rows.where(touched).withColumn("own", F.xxhash64(whole)).join(later.hint("merge"), "id", "left")
+    starts = F.transform(F.filter("later", lambda x: x["th"] == F.col("own")), lambda x: x["pos"])
     covered = F.flatten(F.transform(starts, lambda p: F.array(p, p + 1, p + 2)))
     split = both.withColumn("lines", F.when(F.col("later").isNotNull() & whole.isNotNull(), F.split(whole, "\n", -1)))
     kept = split.withColumn("kept", F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), covered))
