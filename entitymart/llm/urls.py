@@ -43,10 +43,10 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def keys(host_col: Column, path_col: Column, lengths: list[int]) -> Column:
-    """All keys of a url: host suffixes at label borders, each with the path's prefixes of the given lengths."""
+def keys(host_col: Column, path_col: Column, lengths: list[int], most: int) -> Column:
+    """All keys of a url that a list could hold: host suffixes at label borders, of ``most`` labels at most, each with the path's prefixes of the given lengths."""
     labels = F.split(host_col, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     cuts = [F.when(F.length(path_col) >= n, F.substring(path_col, 1, n)) for n in lengths]
     prefixes = F.filter(F.array(*cuts), lambda p: p.isNotNull()) if cuts else F.array().cast("array<string>")
     found = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
@@ -194,9 +194,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     good = rules.where(F.col("host").isNotNull() & F.col("path").isNotNull() & F.col("verdict").isin(*VERDICTS))
     listed = stored(good.select(verdict.alias("v"), F.concat("host", "path").alias("key"), F.length("path").alias("n")).dropDuplicates(["v", "key", "n"]), "urls-listed")
     lengths = sorted(r[0] for r in listed.select("n").distinct().collect())  # no more than a url has characters
+    most = good.agg(F.coalesce(F.max(F.size(F.split("host", r"\.", -1))), F.lit(1))).first()[0]
     listed = listed.select("v", "key").distinct()
     rows = pages.select(packed(pages, own).alias("row"), host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    rows = rows.withColumn("keys", keys(F.col("host"), F.col("path"), lengths))
+    rows = rows.withColumn("keys", keys(F.col("host"), F.col("path"), lengths, most))
     n_listed, n_asked = listed.count(), rows.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
     rate = min(FIRST_RATE, 4 * MAX_BYTES / max(1.0, n_bits(n_asked, RATE)))
     parts = max(1, math.ceil(n_bits(n_listed, rate) / (8 * MAX_BYTES)))
