@@ -2,13 +2,14 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from entitymart.llm import ngramjoin, repair, whitening
+from entitymart.llm import linededup, ngramjoin, quality, repair, urls, whitening
 
 # --- op11
 
@@ -308,3 +309,30 @@ def test_sums_are_exact_beyond_doubles(spark):
     x = [[int(1024 * c) + 100000 for c in v] for _, v in rows]
     assert fit.sums == [sum(c) for c in zip(*x)]
     assert whitening.products(np.array(x) - 5) == [sum((r[i] - 5) * (r[j] - 5) for r in x) for i, j in ((0, 0), (0, 1), (1, 1))]
+
+
+# --- earlier operators on other ids and very long values
+
+
+@pytest.mark.parametrize(("doc_type", "label_type"), [("long", "int"), ("int", "long"), ("string", "long"), ("string", "string")])
+def test_quality_labels_of_other_types(spark, doc_type, label_type):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=40)) + ("." if i % 2 else " buy now !!!"), i % 2) for i in range(200)]
+    base = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    told = lambda d, l: quality.fit(base.select(F.col("doc_id").cast(d), "text"), base.select(F.col("doc_id").cast(l), "quality"))
+    assert told(doc_type, label_type).threshold == pytest.approx(told(doc_type, doc_type).threshold, abs=1e-12)
+
+
+def test_long_texts_of_repeated_lines(spark):
+    text = "\n".join(f"line {i % 5000} of a text" for i in range(120_000))
+    began = time.monotonic()
+    rows = linededup.dedup_lines(spark.createDataFrame([(1, text), (2, text + "\nend")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in rows} == {1: 115_000, 2: 120_000} and time.monotonic() - began < 90
+
+
+def test_hosts_of_very_many_labels(spark):
+    host = ".".join(["a"] * 20_000) + ".example.net"
+    rules = spark.createDataFrame([("example.net", "/x/", "block")], "host string, path string, verdict string")
+    got = urls.judge(spark.createDataFrame([(1, f"http://{host}/x/y"), (2, f"http://{host}/z")], "page_id long, url string"), rules).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {1: "block", 2: "allow"}
