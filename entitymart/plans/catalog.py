@@ -63,6 +63,13 @@ def populate(found: DataFrame, t: dict[str, DataFrame]) -> Populated:
     return Populated(sets, labels, enriched, enrich.populate(t, labels, enriched))
 
 
+def populate_if_needed(found: DataFrame, t: dict[str, DataFrame], force: bool = False) -> tuple[dict[str, DataFrame], bool]:
+    """Tables after ``populate``, and True; or as they are, and False, where no album still has its id for a name. The look at the albums ends at the first such one."""
+    if not force and t["album"].where("name = id").isEmpty():
+        return t, False
+    return populate(found, t).tables, True
+
+
 def with_retries(t: dict[str, DataFrame], changes: DataFrame) -> DataFrame:
     """Changes, and failed ones of earlier batches that wait for an entity among them."""
     again = update.tried_again(t, changes)

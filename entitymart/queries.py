@@ -259,6 +259,7 @@ QUERIES: dict[str, Callable[[Catalog], DataFrame]] = {
     "search_all": lambda c: search.search_all(c.tables, ALL_TERM),
     "artist_genres": lambda c: details.artist_genres(artist_hits(c), c.tables),
     "artist_albums": lambda c: texts(details.artist_albums(artist_hits(c), c.tables)),
+    "all_artist_albums": lambda c: texts(details.artist_albums(c.tables["artist"], c.tables)),
     "artist_instruments": lambda c: details.artist_instruments(artist_hits(c), c.tables),
     "album_artists": lambda c: details.album_artists(album_hits(c), c.tables),
     "album_genres": lambda c: details.album_genres(album_hits(c), c.tables),
@@ -455,6 +456,7 @@ SELECT term, CAST(place AS INTEGER) AS place, id, name FROM (SELECT term, id, na
   UNION ALL SELECT * FROM (SELECT 'album', id, name FROM album WHERE name LIKE '%er 1%' ORDER BY name, id LIMIT 100) UNION ALL SELECT * FROM (SELECT 'track', id, name FROM track WHERE name LIKE '%er 1%' ORDER BY name, id LIMIT 100)""",
     "artist_genres": "SELECT artist_id, genre_id, genre.name, row_number() OVER (PARTITION BY artist_id ORDER BY genre.name NULLS LAST, genre_id) AS place FROM ah JOIN artist_genre ON artist_id = ah.id JOIN genre ON genre.id = genre_id",
     "artist_albums": "SELECT artist_id, album_id, album.name, release_date, role, row_number() OVER (PARTITION BY artist_id ORDER BY album.name NULLS LAST, album_id) AS place FROM ah JOIN album_artist ON artist_id = ah.id JOIN album ON album.id = album_id",
+    "all_artist_albums": "SELECT artist_id, album_id, album.name, release_date, role, row_number() OVER (PARTITION BY artist_id ORDER BY album.name NULLS LAST, album_id) AS place FROM album_artist JOIN artist ON artist.id = artist_id JOIN album ON album.id = album_id",
     "artist_instruments": "SELECT artist_id, instrument_id, row_number() OVER (PARTITION BY artist_id ORDER BY instrument_id) AS place FROM ah JOIN artist_instrument ON artist_id = ah.id",
     "album_artists": "SELECT album_id, artist_id, artist.name, role, row_number() OVER (PARTITION BY album_id ORDER BY artist.name NULLS LAST, artist_id) AS place FROM bh JOIN album_artist ON album_id = bh.id JOIN artist ON artist.id = artist_id",
     "album_genres": "SELECT album_id, genre_id, genre.name, row_number() OVER (PARTITION BY album_id ORDER BY genre.name NULLS LAST, genre_id) AS place FROM bh JOIN album_genre ON album_id = bh.id JOIN genre ON genre.id = genre_id",

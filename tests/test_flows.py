@@ -10,7 +10,7 @@ from entitymart.functions.claims import duration_seconds, first_parsed_date, pre
 from entitymart.operators import audit, details, merge, search, update
 from entitymart.operators.classify import branches, classify
 from entitymart.operators.extract import entries
-from entitymart.plans.catalog import bootstrap, populate, run_update, sync
+from entitymart.plans.catalog import bootstrap, populate, populate_if_needed, run_update, sync
 from entitymart.schemas import ENTITY
 from entitymart.sources import staging
 from entitymart.sources.dump import by_ids, counters, rejects, scan, triage
@@ -225,6 +225,16 @@ def test_details_are_in_order(spark, second):
     assert details.album_cards(hits, t).first()["tracks"] == "01. c (1:05); 02. b;   - a (0:05);   - d (0:01)"
 
 
+def test_populate_is_skipped_where_all_albums_have_names(first, second):
+    named = second.tables | {"album": second.tables["album"].withColumn("name", F.lit("a name"))}
+    assert populate_if_needed(first.found, named) == (named, False)
+    again, done = populate_if_needed(first.found, named, force=True)
+    assert done and rows(again["qid_label"]) == rows(second.tables["qid_label"])
+    unnamed = named | {"album": named["album"].withColumn("name", F.col("id"))}
+    again, done = populate_if_needed(first.found, unnamed)
+    assert done and rows(again["album"].select("id", "name")) == rows(second.tables["album"].select("id", "name"))
+
+
 def test_keyset_pages(spark):
     df = spark.range(25).select(F.format_string("Q%02d", "id").alias("id"))
     pages = list(update.keyset_pages(lambda cursor: update.keyset_page(df, cursor, 10), 10))
