@@ -621,6 +621,45 @@ def test_quality_on_held_out_documents(spark):
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in held) >= 0.95 * len(held)
 
 
+def plain_grams(text):
+    """Buckets of the n-grams of a text, one after the other."""
+    word, codes = 1 << 32, []
+    for c in text.lower():
+        if c.isalpha():
+            codes.append(ord(c))
+        elif not codes or codes[-1] != 32:
+            codes.append(32)
+    shift, out = 32 - language.BUCKETS.bit_length() + 1, []
+    a = [c * 0x9E3779B1 % word for c in codes]
+    b = [(x ^ y >> 5) * 0x85EBCA77 % word for x, y in zip(a, a[1:])]
+    c = [(x ^ y >> 7) * 0xC2B2AE3D % word for x, y in zip(b, a[2:])]
+    for row in (a, b, c):
+        out += [x >> shift for x in row]
+    return out
+
+
+def test_language_decoding_against_a_plain_version(spark):
+    """Margins of every bit, losses weighted by the trust in it, and the nearest codeword, in loops."""
+    words = {"x": "der die und nicht haus", "y": "the and not house of", "z": "le la et pas maison", "w": "el los y casa nada"}
+    rows = [(i, " ".join(random.Random(i).choices(words[k].split(), k=30)), k) for i in range(240) for k in [sorted(words)[i % 4]]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    odd = [(1000, "Das, HAUS!! 12", None), (1001, "a", None), (1002, "ǅ of İ 3x", None), (1003, " \n", None), (1004, None, None)]
+    model = language.fit(df)
+    got = {r["doc_id"]: r for r in language.predict(df.union(spark.createDataFrame(odd, df.schema)), model).collect()}
+    assert model.languages == sorted(words) and len(got) == 245
+    for i, text, _ in rows + odd:
+        if not any(c.isalpha() for c in text or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        ids, losses = plain_grams(text), []
+        margins = [sum(float(model.weights[g, b]) for g in ids) / len(ids) * model.scale[b] for b in range(model.code.shape[1])]
+        for word in model.code:
+            losses.append(sum(t * math.log1p(math.exp(-bit * m)) for bit, m, t in zip(word, margins, model.trust)))
+        odds = [math.exp(min(losses) - x) for x in losses]
+        best = losses.index(min(losses))
+        assert got[i]["lang_pred"] == model.languages[best] and got[i]["score"] == pytest.approx(odds[best] / sum(odds), abs=1e-6)
+
+
 def test_language_on_held_out_documents(spark):
     lang = {r["doc_id"]: r["lang"] for r in common.table(spark, HELD_OUT_DIR, "documents").where("lang is not null").select("doc_id", "lang").collect()}
     held = [r for r in queries.op3_language_id(spark, HELD_OUT_DIR).where("held_out and lang_pred <> 'und'").collect() if r["doc_id"] in lang]
