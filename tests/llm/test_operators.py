@@ -612,6 +612,34 @@ def test_quality_threshold_covers_all_labels(spark, monkeypatch):
 HELD_OUT_DIR = "/root/testdata/sf0.01"
 
 
+def plain_buckets(text):
+    """Values of words, pairs of words and runs of three bytes by bucket, counted one after the other."""
+    size, data = 1 << 32, (text or "").encode().lower()
+    words = [zlib.crc32(w) for w in data.split()]
+    pairs = [(x * 0x9E3779B1 % size ^ y) * 0x85EBCA77 % size for x, y in zip(words, words[1:])]
+    runs = [(x << 16 | y << 8 | z) * 0x9E3779B1 % size for x, y, z in zip(data, data[1:], data[2:])]
+    out = {}
+    for first, some in ((0, words + pairs), (quality.BUCKETS, runs)):
+        logs = {b: math.log1p(n) for b, n in Counter(x >> 16 for x in some).items()}
+        norm = math.sqrt(sum(v * v for v in logs.values()))
+        out |= {first + b: v / norm for b, v in logs.items()}
+    return out
+
+
+def test_quality_scores_against_a_plain_version(spark):
+    rows = [(i, " ".join(w + "***" * (i % 3 == 0) for w in prose(40, i).split(" "))) for i in range(240)]
+    odd = [(1000, None), (1001, ""), (1002, "a"), (1003, "Ä ß \u2028 x!"), (1004, "word " * 5000)]
+    model = quality.fit(docs(spark, rows), spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(240)], "doc_id long, quality int"))
+    got = {r["doc_id"]: r["quality_score"] for r in quality.score(docs(spark, rows + odd), model).collect()}
+    assert len(got) == 245
+    for i, text in rows + odd:
+        raw = sum(float(model.table[b]) * v for b, v in plain_buckets(text).items())
+        for x, mean, spread, weight in zip(quality.shares(text), model.mean, model.spread, model.weights):
+            raw += max(-8.0, min(8.0, (x - mean) / spread)) * weight
+        z = max(-30.0, min(30.0, (raw - model.threshold) * model.slope)) + math.log(0.7 / 0.3)
+        assert got[i] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+
+
 def test_quality_on_held_out_documents(spark):
     labels = {r["doc_id"]: r["quality"] for r in common.table(spark, HELD_OUT_DIR, "labels").where("quality is not null").collect()}
     held = [r for r in queries.op8_quality(spark, HELD_OUT_DIR).where("held_out").collect() if r["doc_id"] in labels]
