@@ -71,20 +71,29 @@ class Sums:
         paired = np.array([len(p) > 0 for p in self.pairs])
         self.triples = [np.flatnonzero(present[: s + 1] & paired[s - np.arange(s + 1)] & (3 * np.arange(s + 1) >= s)) for s in range(n)]
 
-    def of(self, gap: int, most: int):
-        """Combinations of lengths of at most ``most`` that fill ``gap``: the single, then pairs, then triples, the longest first."""
-        if gap <= most and self.present[gap]:
+    def of(self, gap: int, most: int, left: np.ndarray):
+        """Combinations of lengths of at most ``most`` that fill ``gap``: the single, then pairs, then triples, the longest first. Lengths of which
+        none is ``left`` are skipped, so what comes is nearly all of use."""
+        if gap <= most and left[gap]:
             yield (gap,)
-        yield from self.two(gap, most)
-        for a in self.triples[gap][::-1].tolist():
-            if a <= most:
-                for b, c in self.two(gap - a, a):
-                    yield a, b, c
+        yield from self.two(gap, most, left)
+        top = self.triples[gap]
+        top = top[(top <= most) & (left[top] > 0) & sums_of_two(left > 0)[gap - top]]
+        for a in top[::-1].tolist():
+            for b, c in self.two(gap - a, a, left):
+                yield a, b, c
 
-    def two(self, gap: int, most: int):
-        for low in self.pairs[gap].tolist():
-            if gap - low <= most:
-                yield gap - low, low
+    def two(self, gap: int, most: int, left: np.ndarray):
+        low = self.pairs[gap]
+        for b in low[(gap - low <= most) & (left[low] > 0) & (left[gap - low] > 0)].tolist():
+            yield gap - b, b
+
+
+def sums_of_two(present: np.ndarray) -> np.ndarray:
+    """Which numbers are a sum of two of those present."""
+    n = len(present)
+    wave = np.fft.rfft(present.astype(float), 2 * n)
+    return np.fft.irfft(wave * wave, 2 * n)[:n] > 0.5
 
 
 def patterns(counts: dict[int, int], size: int = SIZE) -> list[tuple[list[int], int]]:
@@ -105,7 +114,7 @@ def patterns(counts: dict[int, int], size: int = SIZE) -> list[tuple[list[int],
     take([size])
     sums = Sums(left > 0)
     for n in range(size - 1, 0, -1):
-        for parts in sums.of(size - n, n) if left[n] else ():
+        for parts in sums.of(size - n, n, left) if left[n] else ():
             if not left[n]:
                 break
             if all(left[x] for x in parts):

@@ -1,7 +1,12 @@
 """The pipeline over the smallest tables: each stage keeps what it should, and the last packs what is left."""
 
+import zlib
+
+import numpy as np
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from entitymart.llm import linededup, neardup, packing, quality
+from entitymart.llm import packing, tokens
 from entitymart.llm.common import stored, table
 from tests.llm.test_operators import plain_hits, plain_lines, plain_near
 
@@ -10,6 +15,7 @@ DIR = "/root/testdata/sf0.001"
 
 def test_stages(spark):
     docs = table(spark, DIR, "documents")
+    bpe = Tokenizer.from_file(tokens.default_path())
     items = [tuple(r) for r in table(spark, DIR, "benchmark").select("item_id", "text").collect()]
     for name, stage in corpus_pipeline.STAGES:
         before = {r["doc_id"]: r["text"] for r in docs.collect()}
@@ -29,7 +35,20 @@ def test_stages(spark):
         if name == "decontamination":
             assert set(kept) == {i for i, t in before.items() if plain_hits(t, items)[1] == 0}
         if name == "packing":
-            assert {r["doc_id"] for r in after.collect()} == set(before)
+            whole = {i: [*x.ids, packing.END] for i, x in zip(before, bpe.encode_batch([t or "" for t in before.values()], add_special_tokens=False))}
+            want = {
+                (i, k): (at, len(part), zlib.crc32(np.array(part, dtype="<u4").tobytes()))
+                for i, ids in whole.items()
+                for k, at in enumerate(range(0, len(ids), packing.SIZE))
+                for part in [ids[at : at + packing.SIZE]]
+            }
+            got = after.collect()
+            assert len(got) == len(want) and {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got} == want
+            ends: dict[int, int] = {}
+            for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+                assert r["offset"] == ends.get(r["sequence_id"], 0)
+                ends[r["sequence_id"]] = r["offset"] + r["length"]
+            assert max(ends.values()) <= packing.SIZE and len(ends) <= -(-sum(map(len, whole.values())) // packing.SIZE) + 1
         docs = after
 
 
