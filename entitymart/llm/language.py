@@ -5,7 +5,8 @@ whose codeword has a one there from the others. A text's margins on all bits are
 loss, bits weighted by how well they separate the training languages; a narrow win is flagged as ambiguous.
 
 The fit is a Spark job: n-gram counts per language over a bounded sample (``PER_LANGUAGE`` rows of each, chosen by a hash of the
-id), added up by language and n-gram. The driver gets that table only, ``BUCKETS`` numbers a language. Prediction is a narrow map.
+id), added up by language and n-gram. The driver gets that table only, ``BUCKETS`` numbers a language. Of more than ``LANGUAGES`` values of lang, as
+a dirty column has, the most frequent are learnt. Prediction is a narrow map.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from entitymart.llm.common import fold, per_batch, ship, slices
 
-#: Hashed n-grams, rows of each language in the fit, longest code, and the probability under which a win is ambiguous.
-BUCKETS, PER_LANGUAGE, MAX_BITS, SURE = 1 << 14, 3000, 63, 0.6
+#: Hashed n-grams, languages in the fit, rows of each, longest code, and the probability under which a win is ambiguous.
+BUCKETS, LANGUAGES, PER_LANGUAGE, MAX_BITS, SURE = 1 << 14, 256, 3000, 63, 0.6
 #: Characters worked on at once.
 CHUNK = 400_000
 
@@ -56,7 +57,7 @@ def codewords(n: int) -> np.ndarray:
     best = None
     for seed in range(50):
         code = np.random.default_rng(seed).choice((-1.0, 1.0), (n, MAX_BITS))
-        apart = min((code[i] != code[j]).sum() for i in range(n) for j in range(i))
+        apart = ((MAX_BITS - code @ code.T) / 2)[np.tril_indices(n, -1)].min()
         if best is None or apart > best[0]:
             best = apart, code
     return best[1]
@@ -86,10 +87,11 @@ class Model:
         return self.languages[best], float(odds[best] / odds.sum()), bool(odds[best] / odds.sum() < SURE)
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learns from rows outside the held-out fold that have a lang and a letter. No such row: an empty model, which says ``und``."""
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
+    """Learns from rows outside the held-out fold that have a lang and a letter. No such row: an empty model, which says ``und``. Values of lang
+    beyond the ``languages`` most frequent (ties: the least) are not learnt."""
     rows = docs.select("doc_id", "text", "lang").where((fold(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    seen = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    seen = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not seen:
         return Model([])
     most = {k: int(min(1.0, per_language / n) * (1 << 32)) for k, n in seen.items()}
@@ -112,22 +114,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     counts = sample.select("text", "lang").mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     got = counts.groupBy("lang").agg(F.collect_list(F.struct("gram", "n")).alias("x")).collect()
-    languages = sorted(r["lang"] for r in got)
-    p = np.full((len(languages), BUCKETS), 0.5)
+    learnt = sorted(r["lang"] for r in got)
+    p = np.full((len(learnt), BUCKETS), 0.5)
     for r in got:
         for gram, n in r["x"]:
-            p[languages.index(r["lang"]), gram] += n
+            p[learnt.index(r["lang"]), gram] += n
     p /= p.sum(axis=1, keepdims=True)
-    code = codewords(len(languages))
+    code = codewords(len(learnt))
     if code.shape[1] == 0:
-        return Model(languages, code.reshape(len(languages), 0))
+        return Model(learnt, code.reshape(len(learnt), 0))
     ones, zeros = (np.stack([p[code[:, b] == s].mean(axis=0) for b in range(code.shape[1])]) for s in (1, -1))
     weights = np.log(ones / zeros).T
     expected = p @ weights  # margins that the languages themselves would get
     middle = np.array([(expected[code[:, b] == 1, b].min() + expected[code[:, b] == -1, b].max()) / 2 for b in range(code.shape[1])])
     weights, expected = weights - middle, expected - middle
     apart = np.maximum((code * expected).min(axis=0), 1e-6)
-    return Model(languages, code, weights.astype(np.float32), 3 / apart, apart / apart.sum() * min(8, len(apart)))
+    return Model(learnt, code, weights.astype(np.float32), 3 / apart, apart / apart.sum() * min(8, len(apart)))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
