@@ -4,6 +4,7 @@ import re
 
 from entitymart import queries as q
 from entitymart.operators import audit, enrich
+from entitymart.plans.catalog import entries_of
 from entitymart.sources.storage import StoredTables, stored
 
 DIR = "/root/testdata/sf0.001"
@@ -45,3 +46,11 @@ def test_stored_tables_are_not_stored_again(spark):
     assert t["a"] is a and not t.kept
     c = q.Catalog(spark, DIR)
     assert c.tables["qid_label"] is c.second.labels and c.tables["genre"] is c.first.tables["genre"]
+
+
+def test_entries_that_no_genre_asks_for_do_not_travel(spark):
+    found = stored(spark.range(20_000).selectExpr("cast(id as string) as qid", "'x' as name"), "found")
+    ids = spark.createDataFrame([("7",), ("12345",), ("none",)], "qid string")
+    met = entries_of(found, ids)
+    assert "getbit" in plan(met)
+    assert sorted(r["qid"] for r in met.collect()) == ["12345", "7"]
