@@ -3,7 +3,7 @@
 import re
 
 from entitymart import queries as q
-from entitymart.operators import audit, enrich
+from entitymart.operators import audit, enrich, search
 from entitymart.plans.catalog import entries_of
 from entitymart.sources.storage import StoredTables, stored
 
@@ -54,3 +54,10 @@ def test_entries_that_no_genre_asks_for_do_not_travel(spark):
     met = entries_of(found, ids)
     assert "getbit" in plan(met)
     assert sorted(r["qid"] for r in met.collect()) == ["12345", "7"]
+
+
+def test_words_are_counted_within_their_row(spark):
+    df = spark.createDataFrame([("1", "b a b"), ("2", ""), ("3", None), ("4", "a")], "id string, name string")
+    index = search.token_index(df, ["name"])
+    assert sorted(map(tuple, index.collect())) == [("a", "1", 3, 1), ("a", "4", 1, 1), ("b", "1", 3, 2)]
+    assert "Exchange" not in plan(index)
