@@ -1,11 +1,14 @@
 """What the flows shuffle and write twice: exchanges that plans do without."""
 
+import os
 import re
 
+from pyspark.sql import functions as F
+
 from entitymart import queries as q
 from entitymart.operators import audit, enrich, search
 from entitymart.plans.catalog import entries_of
-from entitymart.sources.storage import StoredTables, stored
+from entitymart.sources.storage import SHUFFLE_CLEANUP, StoredTables, stored
 
 DIR = "/root/testdata/sf0.001"
 
@@ -56,6 +59,17 @@ def test_entries_that_no_genre_asks_for_do_not_travel(spark):
     assert sorted(r["qid"] for r in met.collect()) == ["12345", "7"]
 
 
+def left_in(spark):
+    return sum(f.startswith("shuffle_") and f.endswith(".data") for at, _, files in os.walk(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]) for f in files)
+
+
+def test_what_was_stored_leaves_no_shuffle_files(spark):
+    before = left_in(spark)
+    stored(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count(), "groups")
+    assert left_in(spark) <= before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
 def test_words_are_counted_within_their_row(spark):
     df = spark.createDataFrame([("1", "b a b"), ("2", ""), ("3", None), ("4", "a")], "id string, name string")
     index = search.token_index(df, ["name"])
