@@ -15,15 +15,15 @@ UNRESOLVED = "name is null or name = id"
 
 
 def id_sets(t: dict[str, DataFrame]) -> DataFrame:
-    """(kind, qid): albums, tracks, artists without a name, instruments, genres, and all of them."""
+    """(kind, qid): albums, tracks, artists without a name, instruments, genres, and all of them. A table has each of its ids once."""
     kinds = {
         "albums": t["album"].select(F.col("id").alias("qid")),
         "tracks": t["track"].select(F.col("id").alias("qid")),
         "artists_with_null_names": t["artist"].where(UNRESOLVED).select(F.col("id").alias("qid")),
-        "instruments": t["artist_instrument"].select(F.col("instrument_id").alias("qid")),
+        "instruments": t["artist_instrument"].select(F.col("instrument_id").alias("qid")).distinct(),
         "genres": t["genre"].select(F.col("id").alias("qid")),
     }
-    each = reduce(DataFrame.unionByName, [df.distinct().select(F.lit(k).alias("kind"), "qid") for k, df in kinds.items()])
+    each = reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("kind"), "qid") for k, df in kinds.items()])
     return each.unionByName(each.select(F.lit("all").alias("kind"), "qid").distinct())
 
 

@@ -5,9 +5,13 @@ The winner among rows of one key is the least by its other columns, nulls last,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entitymart.operators.bitfilter import may_be_in
+
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """The least row of each key, by partial and final aggregation: a repeated key never gathers in one task."""
@@ -18,6 +22,16 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(ranked).alias("row")).select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns])
 
 
+def may_repeat(df: DataFrame, key: str) -> Column:
+    """True where ``key`` is one that several rows of ``df`` have, and for a few others. Only keys are shuffled to tell."""
+    return may_be_in(df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), F.col(key))
+
+
+def apart(df: DataFrame, repeats: Column, once: Callable[[DataFrame], DataFrame], several: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``once`` of the rows whose key comes once, which need not meet any others, and ``several`` of the rest."""
+    return once(df.where(~repeats)).unionByName(several(df.where(repeats)))
+
+
 def insert_or_ignore(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
     """Existing rows stay; of new keys one row is added."""
     fresh = one_per_key(new, keys)

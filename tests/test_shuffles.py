@@ -6,8 +6,9 @@ import re
 from pyspark.sql import functions as F
 
 from entitymart import queries as q
-from entitymart.operators import audit, enrich, search
+from entitymart.operators import audit, enrich, search, tables
 from entitymart.plans.catalog import entries_of
+from entitymart.schemas import REFS
 from entitymart.sources.storage import SHUFFLE_CLEANUP, StoredTables, stored
 
 DIR = "/root/testdata/sf0.001"
@@ -70,6 +71,27 @@ def test_what_was_stored_leaves_no_shuffle_files(spark):
     assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
 
 
+def test_only_rows_of_ids_that_come_twice_meet(spark):
+    """Of one id: two rows of a role, two of different roles, and a row that says the same twice."""
+    refs = lambda *qs: [(q, "performer") for q in qs]
+    row = lambda id, role, name, genres=(), performers=(), parents=(): (id, name, None, "person", "r", role, None, None, list(genres), [], [], refs(*performers), list(parents))
+    schema = f"id string, name string, description string, artist_type string, inclusion_reason string, role string, birth_date date, death_date date, genres array<string>, instruments array<string>, member_of array<string>, performers {REFS}, parents array<string>"
+    rows = [
+        row("a", "Agent", "A", "gg"), row("b", "Agent", "B2", "g"), row("b", "Agent", "B1", "gh"), row("x", "Agent", None), row("x", "Album", "X", performers="aab"),
+        row("l", "Album", "L", performers="ab"), row("t", "Track", "T", performers="aa", parents="ll"), row("u", "Track", "U", parents="l"), row("u", "Track", None, performers="b", parents="lx"),
+    ]
+    staged = stored(spark.createDataFrame(rows, schema), "staged")
+    genre = spark.createDataFrame([("g", "G"), ("h", "H")], "id string, name string")
+    t = tables.bootstrap_tables(staged, genre)
+    got = {name: sorted(tuple(r)[:3] for r in t[name].select(*t[name].columns[:2]).collect()) for name in ("artist_genre", "album", "album_artist", "track", "track_artist", "track_album")}
+    assert sorted((r.id, r.name) for r in t["artist"].collect()) == [("a", "A"), ("b", "B1"), ("x", None)]
+    assert got == {
+        "artist_genre": [("a", "g"), ("b", "g"), ("b", "h")], "album": [("l", "L"), ("x", "X")], "album_artist": [("l", "a"), ("l", "b"), ("x", "a"), ("x", "b")],
+        "track": [("t", "T"), ("u", "U")], "track_artist": [("t", "a"), ("u", "b")], "track_album": [("t", "l"), ("u", "l"), ("u", "x")],
+    }
+    assert "getbit" in plan(t["track_artist"])
+
+
 def test_words_are_counted_within_their_row(spark):
     df = spark.createDataFrame([("1", "b a b"), ("2", ""), ("3", None), ("4", "a")], "id string, name string")
     index = search.token_index(df, ["name"])
