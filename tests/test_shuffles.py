@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from entitymart import queries as q
-from entitymart.operators import audit, enrich, search, tables
+from entitymart.operators import audit, enrich, search, tables, update
 from entitymart.plans.catalog import entries_of
 from entitymart.schemas import REFS
 from entitymart.sources.storage import SHUFFLE_CLEANUP, StoredTables, stored
@@ -92,6 +92,15 @@ def test_only_rows_of_ids_that_come_twice_meet(spark):
     assert "getbit" in plan(t["track_artist"])
 
 
+def test_only_changes_of_one_entity_meet(spark):
+    at = lambda day: f"2024-01-{day:02}"
+    rows = [("a", at(1), "old"), ("a", at(2), "new"), ("b", at(1), "only"), (None, at(1), "x"), (None, at(3), "y")]
+    changes = stored(spark.createDataFrame(rows, "qid string, modified string, value string").withColumn("modified", F.col("modified").cast("timestamp")), "some-changes")
+    last = update.newest(changes)
+    assert sorted(((r.qid, r.value) for r in last.collect()), key=str) == [("a", "new"), ("b", "only"), (None, "y")]
+    assert "getbit" in plan(last)
+
+
 def test_words_are_counted_within_their_row(spark):
     df = spark.createDataFrame([("1", "b a b"), ("2", ""), ("3", None), ("4", "a")], "id string, name string")
     index = search.token_index(df, ["name"])
