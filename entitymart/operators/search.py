@@ -50,7 +50,8 @@ def search_all(t: dict[str, DataFrame], term: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [df.select(F.lit(k).alias("kind"), "id", "name") for k, df in found.items()])
 
 
-GRAM = 3
+#: Characters that a term asks by, at most: few rows hold a run of as many by chance.
+GRAM = 8
 
 
 def literals(term: Column) -> Column:
@@ -63,25 +64,37 @@ def grams(text: Column, n: Column | int) -> Column:
     return F.array_distinct(F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>")))
 
 
-def search_terms(df: DataFrame, terms: DataFrame, columns: list[str], exact_first: bool = False, top: int = TOP) -> DataFrame:
-    """(term, place, id, name): for each different term the first ``top`` rows that ``search`` would give, for thousands of terms at once.
+def runs_of(df: DataFrame, columns: list[str], sizes: list[int]) -> DataFrame:
+    """(id, gram): the different runs of each of ``sizes`` characters in each of ``columns``. A run is taken where it first stands, so none are gathered to be compared."""
+    texts = df.select("id", F.explode(F.array(*[F.col(c) for c in columns])).alias("text")).where("text is not null")
+    sized = texts.select("id", "text", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("n")).where("length(text) >= n")
+    last = F.when(F.col("n") == 0, 1).otherwise(F.length("text") - F.col("n") + 1)
+    each = sized.select("id", "text", "n", F.explode(F.sequence(F.lit(1), last)).alias("i"))
+    return each.withColumn("gram", F.substring("text", F.col("i"), F.col("n"))).where(F.instr("text", F.col("gram")) == F.col("i")).select("id", "gram")
 
-    A row that holds a term holds each run of ``GRAM`` characters of its longest literal. Each term so asks for the rows of its rarest run only, and these are
-    then tested by ``LIKE``. Shorter literals ask by runs of their own length; terms of wildcards only by the empty run, which every row holds. Runs that no term
-    asks for never leave the scan. Each task keeps its first rows of a term before they travel. Null and empty terms find nothing."""
-    asked = terms.toDF("term").where("term <> ''").distinct()
+
+def may_hold(df: DataFrame, asked: DataFrame, columns: list[str]) -> DataFrame:
+    """(term, id): rows of ``df`` that hold the rarest run of a term, among the runs of ``GRAM`` characters of its longest literal, or of all its characters if it has fewer.
+    A term of wildcards only asks by the empty run, which every row holds. Runs that no term asks for never leave the scan."""
     longest = F.array_max(F.transform(literals(F.col("term")), lambda x: F.struct(F.length(x).alias("n"), x.alias("text"))))
     size = F.least(F.lit(GRAM), longest["n"])
     asked = stored(asked.select("term", size.alias("size"), F.when(size == 0, F.array(F.lit(""))).otherwise(grams(longest["text"], size)).alias("grams")), "terms")
-    sizes = [r[0] for r in asked.select("size").distinct().collect()]  # four at most
+    sizes = [r[0] for r in asked.select("size").distinct().collect()]  # GRAM and one more at most
     wanted = asked.select("term", F.explode("grams").alias("gram"))
-    texts = df.select("id", F.filter(F.array(*[F.col(c) for c in columns]), lambda x: x.isNotNull()).alias("texts")).where("size(texts) > 0")
-    runs = lambda n: F.array(F.lit("")) if n == 0 else F.array_distinct(F.flatten(F.transform("texts", lambda x: grams(x, n))))
-    each = texts.select("id", F.explode(F.concat(F.array().cast("array<string>"), *[runs(n) for n in sizes])).alias("gram"))
-    index = stored(each.where(may_be_in(wanted.select("gram"), F.col("gram"))).join(wanted.select("gram").distinct(), "gram", "left_semi"), "gram-index")
+    each = runs_of(df, columns, sizes).where(may_be_in(wanted.select("gram"), F.col("gram")))
+    index = stored(each.join(wanted.select("gram").distinct(), "gram", "left_semi"), "gram-index")
     common = wanted.join(index.groupBy("gram").agg(F.count("*").alias("n")), "gram", "left")
     rarest = common.groupBy("term").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("x")).where("x.n > 0").select("term", "x.gram")
-    found = rarest.join(index, "gram").select("term", "id").join(df, "id")
+    found = rarest.join(index, "gram").select("term", "id")
+    return found.distinct() if len(columns) > 1 else found
+
+
+def search_terms(df: DataFrame, terms: DataFrame, columns: list[str], exact_first: bool = False, top: int = TOP) -> DataFrame:
+    """(term, place, id, name): for each different term the first ``top`` rows that ``search`` would give, for thousands of terms at once.
+
+    Each term asks for the rows of its rarest run of characters (see ``may_hold``), and these are then tested by ``LIKE``. Each task keeps its first rows of a term before
+    they travel. Null and empty terms find nothing."""
+    found = may_hold(df, terms.toDF("term").where("term <> ''").distinct(), columns).join(df, "id")
     pattern = F.concat(F.lit("%"), F.replace("term", F.lit("\\"), F.lit("\\\\")), F.lit("%"))
     like = reduce(Column.__or__, [F.call_function("like", F.col(c), F.col("_pattern")) for c in columns])
     hits = found.withColumn("_pattern", pattern).where(like)

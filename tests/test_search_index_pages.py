@@ -64,6 +64,16 @@ def test_index_follows_changes(spark, artist):
     assert [r["id"] for r in one.collect()] == [r["id"] for r in found.where("query = 'U2 new'").orderBy("place").collect()]
 
 
+def test_long_terms_look_at_few_rows(spark):
+    """Rows of numbered names that share most of their runs of three characters."""
+    names = spark.range(2000).select(F.format_string("q%d", "id").alias("id"), F.format_string("Customer#%09d", F.col("id") * 37).alias("name"))
+    terms = names.select(F.col("name").alias("term")).union(names.select(F.substring("name", 12, 20))).union(names.sparkSession.createDataFrame([("%0037_",), ("00",)], "t string"))
+    near = search.may_hold(names, terms, ["name"])
+    assert near.where("term not in ('00', '%0037_')").count() < 3 * 4000
+    found = search.search_terms(names, terms, ["name"], exact_first=True)
+    assert found.where("term like 'Customer%'").count() == 2000 and found.where("term = '00'").count() == 100
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
