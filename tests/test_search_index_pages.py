@@ -1,6 +1,7 @@
 """Many terms at once, the kept token index, rescans, inline counters, audits and pages, against plain versions and by their plans."""
 
 import json
+import math
 import re
 
 import pytest
@@ -74,6 +75,38 @@ def test_long_terms_look_at_few_rows(spark):
     assert found.where("term like 'Customer%'").count() == 2000 and found.where("term = '00'").count() == 100
 
 
+def plain_ranks(texts, queries, top):
+    """All rows of all queries, one after the other."""
+    docs = {i: (n, [w for w in re.split(r"[^a-z0-9]+", f"{n or ''} {d or ''}".lower()) if w]) for i, n, d in texts}
+    mean = sum(len(w) for _, w in docs.values()) / len(docs)
+    df = {}
+    for _, w in docs.values():
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    weight = lambda t, w: math.log(1 + (len(docs) - df[t] + 0.5) / (df[t] + 0.5)) * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean))
+    out = []
+    for q in queries:
+        asked = sorted({t for t in re.split(r"[^a-z0-9]+", q.lower()) if t})
+        scored = [(n != q, -round(sum(weight(t, w) for t in asked if t in w), 9), n is None, n or "", i) for i, (n, w) in docs.items() if set(asked) & set(w)]
+        out += [(q, place, x[4], -x[1]) for place, x in enumerate(sorted(scored)[:top], 1)]
+    return sorted(out)
+
+
+def test_queries_of_common_words_look_at_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(tokenindex, "COMMON", 20)
+    texts = [(f"d{i:03}", None if i % 41 == 0 else f"red {i % 150}" + " blue" * (i % 3) + " red" * (i % 5 == 0), "green" if i % 2 else "blue old") for i in range(400)]
+    df = spark.createDataFrame(texts + [("x", "Green red", None), ("y", "zebra", "red")], "id string, name string, description string")
+    queries = [f"red {i}" for i in range(60)] + ["red", "blue green red", "Green red", "zebra red old", "7 8", "red blue 9", "none", "zebra", "GREEN", "red 149 green 3"]
+    index = tokenindex.build(df, ["name", "description"], shared_folder(spark, "index"), buckets=4)
+    found = tokenindex.search_many(index, df, spark.createDataFrame([(q,) for q in queries], "q string"), top=5)
+    got = sorted((r["query"], r["place"], r["id"], r["score"]) for r in found.collect())
+    want = plain_ranks([tuple(r) for r in df.collect()], queries, 5)
+    assert [x[:3] for x in got] == [x[:3] for x in want] and all(abs(x[3] - y[3]) < 2e-9 for x, y in zip(got, want))
+    asked = spark.createDataFrame([(f"red {i}", t, t == "red") for i in range(60) for t in ("red", str(i))], "query string, token string, common boolean")
+    weighed = index.tables["postings"].select("token", "id", F.lit(1.0).alias("weight"))
+    assert tokenindex.candidates(asked, weighed, df, 5).count() < 60 * 10  # 380 rows hold red
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
