@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from entitymart.operators import audit, update
+from entitymart.operators.merge import insert_or_ignore
 from entitymart.plans.catalog import bootstrap, populate, run_update, sync
 from entitymart.schemas import KEYS
 from entitymart.sources.storage import latest, names_in, publish, shared_folder
@@ -177,3 +178,31 @@ def test_a_batch_reads_its_buckets_only(spark, t):
     part = latest(spark, root).part("artist", {3, 5})
     assert len(part.inputFiles()) <= 2 and part.count() < 30
     assert list(itertools.chain(part.where(F.col("id").isNull()).collect())) == []
+
+
+def test_a_batch_is_read_from_its_source_once(spark, t):
+    root, read = shared_folder(spark, "snapshots"), spark.sparkContext.accumulator(0)
+    publish(t, root, 1)
+
+    def seen(qid):
+        read.add(1)
+        return qid
+
+    batch = changes_of(spark, [agent("Q7001", "2026-01-01", "one"), agent("Q7001", "2026-01-02", "two"), agent("Q7002", "2026-01-01", "other")])
+    apply_batch(root, lambda s: "q")(batch.withColumn("qid", F.udf(seen, "string")("qid")), 0)
+    assert read.value == 3
+    assert rows(latest(spark, root).tables["artist"].where("id in ('Q7001', 'Q7002')").select("id", "name")) == [("Q7001", "two"), ("Q7002", "other")]
+
+
+def test_decided_tells_which_entities_come_several_times(spark, t):
+    two = [agent("Q7001", "2026-01-01", "one"), agent("Q7001", "2026-01-02", "two"), agent("Q7002", "2026-01-01", "other")]
+    again = changes_of(spark, two).withColumn("tries", F.col("modified").cast("date").eqNullSafe(F.lit("2026-01-01").cast("date")).cast("int"))  # as if tried again
+    decided = update.decide(update.parse(again), t)
+    assert rows(decided.select("qid", "outcome", "several")) == [("Q7001", "stale", True), ("Q7001", "upserted", True), ("Q7002", "upserted", False)]
+
+
+def test_rows_known_to_differ_are_not_compared(spark):
+    make = lambda *rows: spark.createDataFrame(rows, "a string, b string, n int")
+    new = insert_or_ignore(make(("x", "y", 1)), make(("x", "y", 2), ("x", "z", None)), ["a", "b"], different=True)
+    assert rows(new) == [("x", "y", 1), ("x", "z", None)]
+    assert "Aggregate" not in new._jdf.queryExecution().toString()
